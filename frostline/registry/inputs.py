@@ -102,7 +102,7 @@ CTES: dict[str, str] = {
 def with_ctes(names: str, body: str, **extra: str) -> str:
     """WITH clause of the named inputs and further steps, then the body."""
     parts = [f"{n} AS ({CTES[n]})" for n in names.split()] + [f"{n} AS ({s})" for n, s in extra.items()]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
 FULL = "daily bounds days full_daily"
