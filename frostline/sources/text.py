@@ -14,38 +14,39 @@ SENSOR_FIELDS = 6
 LOGGER_FIELDS = 7
 
 
-def _text_schema(fields: int) -> T.StructType:
-    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(fields)]
-                        + [T.StructField("_corrupt", T.StringType())])
+def _text_schema(fields: int, station_folders: bool = False) -> T.StructType:
+    named = [T.StructField(f"c{i}", T.StringType()) for i in range(fields)]
+    folders = [T.StructField("series_key", T.StringType())] if station_folders else []
+    return T.StructType([*named, T.StructField("_corrupt", T.StringType()), *folders])
 
 
-def _read_fields(spark: SparkSession, path: str, fields: int, quote: str = '"') -> DataFrame:
+def _read_fields(spark: SparkSession, path: str, fields: int, station_folders: bool = False) -> DataFrame:
     return (
-        spark.read.schema(_text_schema(fields))
-        .option("quote", quote).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-        .option("recursiveFileLookup", "true").csv(path)
+        spark.read.schema(_text_schema(fields, station_folders))
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(path)
     )
 
 
 def file_number(name: Column) -> Column:
-    """Number in ``<station>.dat<N>.dat``; NULL where there is none."""
-    return F.regexp_extract(name, r"(\d+)\.dat$", 1).try_cast("bigint")
+    """Number in ``<station>.dat<N>.dat`` (or of a part file); NULL where there is none."""
+    return F.regexp_extract(name, r"(?:\.dat|part-)(\d+)", 1).try_cast("bigint")
 
 
-def station_of(name: Column) -> Column:
-    return F.regexp_extract(name, r"^([^.]+)", 1)
+def station_of(name: Column, station_folders: bool = False) -> Column:
+    """Station named by its folder (``series_key=...``), else by the start of the file name."""
+    return F.col("series_key") if station_folders else F.regexp_extract(name, r"^([^.]+)", 1)
 
 
-def read_sensor_log(spark: SparkSession, path: str, bad: str = "Bad") -> DataFrame:
+def read_sensor_log(spark: SparkSession, path: str, bad: str = "Bad", station_folders: bool = False) -> DataFrame:
     """Headerless quoted log: field 0 the time, field 2 the value.
 
     ``file_seq`` then ``line`` give the arrival order that decides which duplicate is first.
     Unreadable lines keep their text in ``corrupt`` instead of failing the load.
     """
-    raw = _read_fields(spark, path, SENSOR_FIELDS)
+    raw = _read_fields(spark, path, SENSOR_FIELDS, station_folders)
     name = F.col("_metadata.file_name")
     return raw.select(
-        station_of(name).alias("series_key"),
+        station_of(name, station_folders).alias("series_key"),
         F.try_to_timestamp("c0").alias("ts"),
         val.parse_value(F.col("c2"), bad).alias("t"),
         file_number(name).alias("file_seq"),
@@ -88,13 +89,16 @@ def read_logger_with_preamble(spark: SparkSession, path: str, value_field: int =
     ).where(F.col("ts").isNotNull())
 
 
-def read_variant_width(spark: SparkSession, path: str, bad: str = "Bad") -> DataFrame:
+def read_variant_width(spark: SparkSession, path: str, bad: str = "Bad", station_folders: bool = False) -> DataFrame:
     """Unquoted lines without a time: the value is field 1 of five or field 2 of six."""
     fields = F.split("value", ",")
     token = F.when(F.size(fields) == 5, fields[1]).when(F.size(fields) == 6, fields[2])
     name = F.col("_metadata.file_name")
-    return spark.read.text(path).select(
-        station_of(name).alias("series_key"),
+    lines = T.StructType([T.StructField("value", T.StringType())])
+    if station_folders:
+        lines = lines.add("series_key", T.StringType())
+    return spark.read.schema(lines).text(path).select(
+        station_of(name, station_folders).alias("series_key"),
         file_number(name).alias("file_seq"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
