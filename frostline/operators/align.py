@@ -73,8 +73,10 @@ def common_period(base: DataFrame, other: DataFrame, on: str, extra: int = 1) ->
 
     The bounds are scalar subqueries: evaluated once, then pushed down as plain filters.
     """
-    lo = F.greatest(base.agg(F.min(on)).scalar(), other.agg(F.min(on)).scalar())
-    hi = F.least(base.agg(F.max(on)).scalar(), other.agg(F.max(on)).scalar()) + extra
+    ours, theirs = (
+        f.agg(F.struct(F.min(on).alias("lo"), F.max(on).alias("hi"))).scalar() for f in (base, other)
+    )
+    lo, hi = F.greatest(ours["lo"], theirs["lo"]), F.least(ours["hi"], theirs["hi"]) + extra
     return align_left(
         base.where((F.col(on) >= lo) & (F.col(on) <= hi)),
         other.where((F.col(on) >= lo) & (F.col(on) <= hi)), [on],

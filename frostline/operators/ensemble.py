@@ -60,8 +60,8 @@ def splice_cumulative(forecast: DataFrame, observed: DataFrame, keys: Sequence[s
 
 def widen(df: DataFrame, keys: Sequence[str], names: Sequence[str], variable: str = "variable",
           value: str = "value") -> DataFrame:
-    """One column per variable; the names are given, so no pass over the data finds them."""
-    return df.groupBy(*keys).pivot(variable, list(names)).agg(F.first(value, ignorenulls=True))
+    """One column per variable, from given names: a conditional aggregate, one shuffle."""
+    return df.groupBy(*keys).agg(*[F.max(F.when(F.col(variable) == n, F.col(value))).alias(n) for n in names])
 
 
 def member_fallback(members: DataFrame, mean: DataFrame, keys: Sequence[str], names: Sequence[str],
@@ -81,5 +81,6 @@ def member_fallback(members: DataFrame, mean: DataFrame, keys: Sequence[str], na
 def pivot_members(log: DataFrame, keys: Sequence[str], numbers: Sequence[int], number: str = "number",
                   value: str = "fud") -> DataFrame:
     """Forecast log as a table with one column per member."""
-    wide = log.groupBy(*keys).pivot(number, list(numbers)).agg(F.first(value, ignorenulls=True))
-    return wide.select(*keys, *[F.col(str(n)).alias(f"member_{n}") for n in numbers])
+    return log.groupBy(*keys).agg(*[
+        F.max(F.when(F.col(number) == n, F.col(value))).alias(f"member_{n}") for n in numbers
+    ])

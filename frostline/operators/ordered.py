@@ -7,7 +7,12 @@ Two layouts share one set of column builders:
   one exchange on the keys.
 * Raw grain. One key may hold a third of all rows, so windows run over (keys, time block)
   and what crosses a block border comes from a carry table with one row per block
-  (:func:`attach_carry`). No task ever holds a whole series.
+  (:func:`attach_carry`). Blocks that are crowded are split further (:func:`with_axis`), so
+  no task holds a whole series or an overfull stretch of one.
+
+The block tables of the raw layout are written out before they are joined: their size is
+then known to the planner, which broadcasts them where they are small and otherwise shuffles,
+instead of shuffling the samples before it can tell.
 """
 
 from __future__ import annotations
@@ -18,12 +23,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frostline.session import Stage, materialise
+
 DAY = "day"
 HOUR = "hour"
 # Microseconds per unit.
 MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
+# A window over this many rows sorts in memory on an ordinary executor.
+ROWS_PER_BLOCK = 1_000_000
+
 _CARRY = "_carry"
+_PARTS = 1 << 20  # room for the parts of a block in its number
 
 
 def position(time: Column, dtype: str) -> Column:
@@ -72,23 +83,34 @@ def _or(value: Column, fallback: Column | None) -> Column:
     return value if fallback is None else F.coalesce(value, fallback)
 
 
-def with_axis(df: DataFrame, keys: Sequence[str], time: str, block: str | None = None) -> tuple[DataFrame, Axis]:
-    """Add the integer position, and with ``block`` (a truncation unit) the block column."""
+def with_axis(df: DataFrame, keys: Sequence[str], time: str, block: str | None = None,
+              rows_per_block: int = ROWS_PER_BLOCK, stage: Stage = materialise) -> tuple[DataFrame, Axis]:
+    """Add the integer position, and with ``block`` (a time unit) the block column.
+
+    A unit of time with more than ``rows_per_block`` rows of one key is cut into equal parts.
+    Time stamps are unique per key, so the parts shrink to what the clock can hold.
+    """
     out = df.withColumn("_pos", time_position(df, time))
     if block is None:
         return out, Axis(tuple(keys))
-    return out.withColumn("_block", F.floor(F.col("_pos") / F.lit(MICROS[block])).cast("long")), Axis(
-        tuple(keys), block="_block"
+    width = MICROS[block]
+    slotted = out.withColumn("_slot", F.floor(F.col("_pos") / F.lit(width)).cast("long"))
+    counts = slotted.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    crowded = counts.where(F.col("_n") > rows_per_block).select(
+        *keys, "_slot", F.least(F.ceil(F.col("_n") / rows_per_block), F.lit(_PARTS)).cast("long").alias("_parts")
     )
+    joined = slotted.join(stage(crowded, "crowded-blocks"), [*keys, "_slot"], "left")
+    within = F.col("_pos") - F.col("_slot") * width
+    part = F.coalesce(F.floor(within * F.col("_parts") / F.lit(width)).cast("long"), F.lit(0).cast("long"))
+    blocked = joined.withColumn("_block", F.col("_slot") * _PARTS + part).drop("_slot", "_parts")
+    return blocked, Axis(tuple(keys), block="_block")
 
 
-def attach_carry(df: DataFrame, axis: Axis, value: str) -> DataFrame:
+def attach_carry(df: DataFrame, axis: Axis, value: str, stage: Stage = materialise) -> DataFrame:
     """Give every row what its block needs to know about the blocks around it.
 
     The summary is a hash aggregate with map-side combine, one row per (keys, block); the
-    windows over it see blocks, not samples. The join keeps the data's own partitioning on
-    (keys, block), so later windows add no exchange of the data. Whether the summary is
-    broadcast is left to its measured size.
+    windows over it see blocks, not samples.
     """
     if axis.block is None:
         return df
@@ -117,7 +139,7 @@ def attach_carry(df: DataFrame, axis: Axis, value: str) -> DataFrame:
             F.sum("s").over(before).alias("sum_before"),
         ).alias(_CARRY),
     )
-    return df.join(carry, axis.partition, "inner")
+    return df.join(stage(carry, "block-carry"), axis.partition, "inner")
 
 
 def drop_axis(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from frostline.functions import values as val
 from frostline.operators import ordered as o
+from frostline.session import Stage, materialise
 
 
 @dataclass(frozen=True)
@@ -134,32 +135,34 @@ def dedupe_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -
 
 
 def mask_own_day_deviation(df: DataFrame, keys: Sequence[str], time: str, value: str, limit: float = 3.0,
-                           two_sided: bool = False, out: str = "t_kept") -> DataFrame:
+                           two_sided: bool = False, out: str = "t_kept", stage: Stage = materialise) -> DataFrame:
     """Keep samples less than ``limit`` above the mean of their own calendar day.
 
-    The day means are a separate aggregate joined back, so a crowded day is combined in the
-    mappers; one row per day is joined, by broadcast if it measures small enough.
+    The day means are an aggregate joined back, one row per (keys, day): a crowded day is
+    combined in the mappers, and where the means are small the samples are never shuffled.
     """
     framed = df.withColumn("_day", F.to_date(time))
     means = framed.groupBy(*keys, "_day").agg(F.avg(value).alias("_day_mean"))
     gap = F.col(value) - F.col("_day_mean")
     ok = (F.abs(gap) if two_sided else gap) < limit
-    joined = framed.join(means, [*keys, "_day"], "left")
+    joined = framed.join(stage(means, "day-means"), [*keys, "_day"], "left")
     return joined.withColumn(out, val.keep_where(F.col(value), ok)).drop("_day", "_day_mean")
 
 
 def raw_quality_chain(samples: DataFrame, keys: Sequence[str], time: str = "ts", value: str = "t",
-                      rules: RawRules = RawRules(), block: str = "day") -> DataFrame:
+                      rules: RawRules = RawRules(), block: str = "hour", stage: Stage = materialise) -> DataFrame:
     """Spike mask, own-day deviation and interpolation of a high-rate series, as t_clean.
 
-    Samples must have unique time stamps per series. All windows run over (keys, block).
+    Samples must have unique time stamps per series. Two passes of windows over (keys,
+    block), with the masked samples written out between them since the day means, the second
+    carry table and the final pass all read them.
     """
-    framed, axis = o.with_axis(samples, keys, time, block)
-    out = o.attach_carry(framed, axis, value)
+    framed, axis = o.with_axis(samples, keys, time, block, stage=stage)
+    out = o.attach_carry(framed, axis, value, stage)
     out = out.withColumn("_filled", o.ffill(F.col(value), axis))
     out = out.withColumn("_rate", o.differentiate(F.col("_filled"), axis, o.MICROS[o.HOUR]))
     ok = (F.abs("_rate") < rules.max_per_hour) & val.within_upper(F.col(value), rules.upper, inclusive=False)
-    out = out.withColumn("t_clean", val.keep_where(F.col(value), ok)).drop("_filled", "_rate", "_carry")
-    out = mask_own_day_deviation(out, keys, time, "t_clean", rules.deviation, rules.two_sided, "t_clean")
-    out = o.attach_carry(out, axis, "t_clean")
-    return o.drop_axis(out.withColumn("t_clean", o.interpolate(F.col("t_clean"), axis)))
+    calm = stage(out.withColumn("t_clean", val.keep_where(F.col(value), ok)).drop("_filled", "_rate", "_carry"), "calm")
+    near = mask_own_day_deviation(calm, keys, time, "t_clean", rules.deviation, rules.two_sided, "t_clean", stage)
+    near = o.attach_carry(near, axis, "t_clean", stage)
+    return o.drop_axis(near.withColumn("t_clean", o.interpolate(F.col("t_clean"), axis)))

@@ -99,11 +99,10 @@ def fill_with_climatology(series: DataFrame, keys: Sequence[str], first: str, la
     """
     days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
     # Calendar days of the stretch by day of year: a handful per climatology row.
-    clim = (
-        series.where(F.dayofyear(day) <= cal.SEASON_DAYS)
-        .groupBy(*keys, F.dayofyear(day).alias("_doy")).agg(F.avg(value).alias(value))
-    )
-    matching = F.filter(days, lambda d: F.dayofyear(d) == F.col("_doy"))
+    # Day 366 is dropped there and not by a filter, so that both readings of the series stay
+    # the same plan and share its exchange.
+    clim = series.groupBy(*keys, F.dayofyear(day).alias("_doy")).agg(F.avg(value).alias(value))
+    matching = F.filter(days, lambda d: (F.dayofyear(d) == F.col("_doy")) & (F.col("_doy") <= cal.SEASON_DAYS))
     stretch = clim.select(*keys, F.explode(matching).alias(day), value)
     both = series.select(*keys, day, value, F.lit(0).alias("_rank")).unionByName(
         stretch.withColumn("_rank", F.lit(1))

@@ -11,17 +11,23 @@ from frostline.functions import calendar as cal
 from frostline.operators import aggregate as agg
 from frostline.operators import align, quality
 from frostline.operators.quality import RawRules
+from frostline.session import Stage, materialise
 
 
 def clean_samples(samples: DataFrame, keys: Sequence[str], time: str, value: str, order: Sequence[str],
-                  rules: RawRules = RawRules(), block: str = "day") -> DataFrame:
-    """Deduplicated samples with their cleaned value t_clean."""
+                  rules: RawRules = RawRules(), block: str = "hour", stage: Stage = materialise) -> DataFrame:
+    """Deduplicated samples with their cleaned value t_clean.
+
+    The deduplicated samples are written once; the block counts, the carry table and the
+    windows read them from there.
+    """
     unique = quality.dedupe_keep_first(samples.select(*keys, time, value, *order), [*keys, time], order)
-    return quality.raw_quality_chain(unique.select(*keys, time, value), keys, time, value, rules, block)
+    unique = stage(unique.select(*keys, time, value), "unique-samples")
+    return quality.raw_quality_chain(unique, keys, time, value, rules, block, stage)
 
 
 def daily_from_samples(samples: DataFrame, keys: Sequence[str], time: str, value: str, order: Sequence[str],
-                       rules: RawRules = RawRules(), block: str = "day") -> DataFrame:
+                       rules: RawRules = RawRules(), block: str = "hour") -> DataFrame:
     """Daily means of the cleaned samples."""
     clean = clean_samples(samples, keys, time, value, order, rules, block)
     return agg.daily_reduce(clean, keys, time, "t_clean", "mean")

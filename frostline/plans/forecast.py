@@ -11,6 +11,7 @@ from frostline.functions import calendar as cal
 from frostline.operators import aggregate as agg
 from frostline.operators import align, ensemble, model
 from frostline.plans.yearly import PREDICTORS
+from frostline.session import Stage, materialise
 
 # Fixed values of the release calendar.
 RELEASE_DAY = 7        # forecasts and full analysis months arrive on the 7th
@@ -24,11 +25,13 @@ NAMES = tuple(name for name, _, _ in PREDICTORS)
 def issue_calendar(first: Column, last: Column, source: DataFrame) -> DataFrame:
     """Issue dates between the bounds found in ``source``: every 7th (monthly), every Monday (weekly)."""
     days = source.agg(first.alias("_a"), last.alias("_b")).select(cal.day_grid(F.col("_a"), F.col("_b")).alias("issued"))
-    monthly = days.where(F.dayofmonth("issued") == RELEASE_DAY).withColumn("feed", F.lit("monthly"))
-    weekly = days.where(F.weekday("issued") == ISO_MONDAY).withColumn("feed", F.lit("weekly"))
+    seventh = F.dayofmonth("issued") == RELEASE_DAY
     # July 1-6 precedes the season's first monthly forecast.
-    weekly = weekly.where(~((F.month("issued") == 7) & (F.dayofmonth("issued") < RELEASE_DAY)))
-    return monthly.unionByName(weekly).where(cal.forecast_season(F.col("issued")).isNotNull())
+    too_early = (F.month("issued") == 7) & (F.dayofmonth("issued") < RELEASE_DAY)
+    monday = (F.weekday("issued") == ISO_MONDAY) & ~too_early
+    feeds = F.array_compact(F.array(F.when(seventh, "monthly"), F.when(monday, "weekly")))
+    issued = days.where(cal.forecast_season(F.col("issued")).isNotNull())
+    return issued.select("issued", F.explode(feeds).alias("feed"))
 
 
 def source_rules(issues: DataFrame) -> DataFrame:
@@ -104,15 +107,22 @@ def spliced_months(rules: DataFrame, analysis_daily: DataFrame, forecast_daily:
     return by_mean.select(*keys, "number", "value").unionByName(by_sum.select(*keys, "number", "value"))
 
 
-def forecast_input(rules: DataFrame, analysis_daily: DataFrame, forecast_daily: DataFrame) -> DataFrame:
-    """Wide predictor rows per issue: member 0 is the ensemble mean, members lacking a variable use it."""
+def forecast_input(rules: DataFrame, analysis_daily: DataFrame, forecast_daily: DataFrame,
+                   stage: Stage = materialise) -> DataFrame:
+    """Wide predictor rows per issue: member 0 is the ensemble mean, members lacking a variable use it.
+
+    The daily tables are reductions of whole grids and every one of them, like the rules, has
+    several readers here: each is written once.
+    """
+    rules = stage(rules, "issue-rules")
+    analysis_daily = stage(analysis_daily, "analysis-daily")
+    forecast_daily = stage(forecast_daily, "forecast-daily")
     full = rules.where("analysis_due").join(analysis_months(analysis_daily), ["variable", "target"]).select(
         "issued", "feed", "variable", "value"
     )
     open_rules = rules.join(full.select("issued", "feed", "variable"), ["issued", "feed", "variable"], "left_anti")
-    members = spliced_months(open_rules, analysis_daily, forecast_daily).select(
-        "issued", "feed", "number", "variable", "value"
-    )
+    members = spliced_months(stage(open_rules, "open-rules"), analysis_daily, forecast_daily)
+    members = stage(members.select("issued", "feed", "number", "variable", "value"), "members")
     means = agg.ensemble_mean(members, ["issued", "feed", "variable"])
     best = align.prefer_source([("analysis", full), ("forecast", means)], ["issued", "feed", "variable"])
     return ensemble.member_fallback(members, best.drop("source"), ["issued", "feed"], NAMES)

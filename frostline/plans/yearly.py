@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from frostline.functions import calendar as cal
 from frostline.functions import values as val
 from frostline.operators import aggregate as agg
 from frostline.operators import align, ensemble, quality, seasons
 from frostline.operators.quality import DailyRules
+from frostline.session import Stage, materialise
 
 
 def processed_series(daily: DataFrame, keys: Sequence[str], rules: DailyRules = DailyRules()) -> DataFrame:
@@ -32,25 +34,35 @@ def observed_freeze_up(processed: DataFrame, keys: Sequence[str], value: str = "
 PREDICTORS = (("t2m", 12, "mean"), ("sf", 11, "sum"), ("tcc", 9, "mean"))
 
 
-def monthly_predictors(analysis: DataFrame, cell_keys: Sequence[str] = ("variable",)) -> DataFrame:
+def monthly_predictors(analysis: DataFrame, cell_keys: Sequence[str] = ()) -> DataFrame:
     """Long table (season, variable, value) from gridded analysis rows variable, valid_time, value.
 
-    One pass per reduction kind, each filtered to its own months before it is aggregated.
+    Space is averaged per time stamp first (the cells of one stamp may be incomplete), then
+    time is averaged or summed. All predictors share one pass; rows outside a predictor's
+    month are filtered before the first shuffle. Summed variables are accumulations stamped
+    at the end of their interval and move half an hour back into it.
     """
-    parts = []
-    for name, month, how in PREDICTORS:
-        rows = analysis.where(F.col("variable") == name)
-        if how == "mean":
-            # Space first, then time: the cells of one stamp may be incomplete.
-            part = agg.spatial_mean(rows.where(F.month("valid_time") == month), [*cell_keys, "valid_time"])
-            part = agg.monthly_mean(part, cell_keys, "valid_time", "value")
-        else:
-            part = agg.monthly_sum(rows, cell_keys, "valid_time", "value", [month])
-        parts.append(part.select(*cell_keys, F.col("y").alias("season"), "value"))
-    return align.stack(*parts)
-
-
-def training_table(predictors: DataFrame, freeze_up: DataFrame) -> DataFrame:
-    """Wide predictors per season with the freeze-up day number, over the shared seasons."""
-    wide = ensemble.widen(predictors, ["season"], [name for name, _, _ in PREDICTORS])
-    return align.common_period(wide, freeze_up.select("season", "fudoy"), "season")
+    month_of, method_of = (
+        F.create_map(*[F.lit(x) for row in PREDICTORS for x in (row[0], row[i])])[F.col("variable")] for i in (1, 2)
+    )
+    summed = method_of == "sum"
+    rows = analysis.where(F.col("variable").isin([name for name, _, _ in PREDICTORS])).withColumn(
+        "_t", F.when(summed, cal.shift_minutes(F.col("valid_time"), -30)).otherwise(F.col("valid_time"))
+    )
+    keys = [*cell_keys, "variable"]
+    stamps = agg.spatial_mean(rows.where(F.month("_t") == month_of), [*keys, "_t"])
+    folded = stamps.groupBy(*keys, F.year("_t").alias("season")).agg(
+        F.avg("value").alias("_mean"), F.sum("value").alias("_sum")
+    )
+    return folded.select(*keys, "season", F.when(summed, F.col("_sum")).otherwise(F.col("_mean")).alias("value"))
+
+
+def training_table(predictors: DataFrame, freeze_up: DataFrame, stage: Stage = materialise) -> DataFrame:
+    """Wide predictors per season with the freeze-up day number, over the shared seasons.
+
+    Both tables have one row per season but come from whole grids and series, so they are
+    written before their bounds and rows are read.
+    """
+    wide = stage(ensemble.widen(predictors, ["season"], [name for name, _, _ in PREDICTORS]), "predictors")
+    observed = stage(freeze_up.select("season", "fudoy"), "freeze-up")
+    return align.common_period(wide, observed, "season")

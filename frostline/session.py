@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# How a plan cuts its lineage: a frame and a label in, an equal frame out.
+Stage = Callable[[DataFrame, str], DataFrame]
+
 
 def build_session(app_name: str = "frostline", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the engine's defaults: UTC, ANSI, adaptive execution.
@@ -60,8 +64,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a stage to the shared folder and read it back.
 
-    Used where one reduced stage feeds several consumers: the reduction is not repeated,
-    and a lost executor costs a re-read of files instead of the whole lineage.
+    Used where one stage feeds several consumers: it is not repeated, a lost executor costs a
+    re-read of files instead of the whole lineage, and the planner knows its true size.
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frostline.functions import values as val
+from frostline.session import Stage, materialise
 
 SENSOR_FIELDS = 6
 LOGGER_FIELDS = 7
@@ -107,15 +108,17 @@ def read_variant_width(spark: SparkSession, path: str, bad: str = "Bad", station
     )
 
 
-def assign_synthetic_time(lines: DataFrame, start: Column | None = None, step_seconds: int = 60) -> DataFrame:
+def assign_synthetic_time(lines: DataFrame, start: Column | None = None, step_seconds: int = 60,
+                          stage: Stage = materialise) -> DataFrame:
     """Regular time axis over the concatenated files of a series, one step per line.
 
     Without ``start`` the axis begins at the hour of the first file's modification time.
     A line's rank is its offset in its file block plus the sizes of all blocks before it;
-    only the block sizes (one row per block) are ordered, never the lines.
+    only the block sizes (one row per block) are ordered, never the lines. The lines are
+    written first, so that sizes and ranks come from one reading of the files.
     """
     part = ["series_key", "file_seq", "block"]
-    framed = lines
+    framed = stage(lines, "untimed-lines")
     sizes = framed.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"), F.min("row").alias("_row0"), F.min("modified").alias("_modified")
     )
@@ -126,7 +129,7 @@ def assign_synthetic_time(lines: DataFrame, start: Column | None = None, step_se
     offsets = sizes.select(
         *part, "_row0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), begin.alias("_start")
     )
-    joined = framed.join(offsets, part)
+    joined = framed.join(stage(offsets, "block-offsets"), part)
     rank = F.col("_before") + F.col("row") - F.col("_row0")
     ts = F.timestamp_micros(F.unix_micros(F.col("_start").cast("timestamp")) + rank * step_seconds * 1_000_000)
     return joined.select("series_key", ts.alias("ts"), "t", "file_seq")
