@@ -34,7 +34,8 @@ MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day
 ROWS_PER_BLOCK = 1_000_000
 
 _CARRY = "_carry"
-_PARTS = 1 << 20  # room for the parts of a block in its number
+_PARTS = 1 << 31  # room for the parts of a unit in a block number
+_CELLS = 4096     # fine cells of a crowded unit
 
 
 def position(time: Column, dtype: str) -> Column:
@@ -87,23 +88,29 @@ def with_axis(df: DataFrame, keys: Sequence[str], time: str, block: str | None =
               rows_per_block: int = ROWS_PER_BLOCK, stage: Stage = materialise) -> tuple[DataFrame, Axis]:
     """Add the integer position, and with ``block`` (a time unit) the block column.
 
-    A unit of time with more than ``rows_per_block`` rows of one key is cut into equal parts.
-    Time stamps are unique per key, so the parts shrink to what the clock can hold.
+    A unit with more than ``rows_per_block`` rows of one key is cut where its rows are: they
+    are counted in fine cells and the running count decides the cut. A block then holds at
+    most ``rows_per_block`` rows and one cell, and a cell of an hour is under a second, which
+    stamps unique to the microsecond cannot overfill. The usual case, no crowded unit, costs
+    one count.
     """
     out = df.withColumn("_pos", time_position(df, time))
     if block is None:
         return out, Axis(tuple(keys))
-    width = MICROS[block]
-    slotted = out.withColumn("_slot", F.floor(F.col("_pos") / F.lit(width)).cast("long"))
-    counts = slotted.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    crowded = counts.where(F.col("_n") > rows_per_block).select(
-        *keys, "_slot", F.least(F.ceil(F.col("_n") / rows_per_block), F.lit(_PARTS)).cast("long").alias("_parts")
-    )
-    joined = slotted.join(stage(crowded, "crowded-blocks"), [*keys, "_slot"], "left")
+    axis, width, slot = Axis(tuple(keys), block="_block"), F.lit(MICROS[block]), [*keys, "_slot"]
+    slotted = out.withColumn("_slot", F.floor(F.col("_pos") / width).cast("long"))
+    counts = slotted.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
+    crowded = stage(counts.where(F.col("_n") > rows_per_block).select(*slot), "crowded-blocks")
+    if crowded.isEmpty():
+        return slotted.withColumn("_block", F.col("_slot") * _PARTS).drop("_slot"), axis
     within = F.col("_pos") - F.col("_slot") * width
-    part = F.coalesce(F.floor(within * F.col("_parts") / F.lit(width)).cast("long"), F.lit(0).cast("long"))
-    blocked = joined.withColumn("_block", F.col("_slot") * _PARTS + part).drop("_slot", "_parts")
-    return blocked, Axis(tuple(keys), block="_block")
+    celled = slotted.withColumn("_cell", F.floor(within * _CELLS / width).cast("long"))
+    cells = celled.join(crowded, slot, "left_semi").groupBy(*slot, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*slot).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = cells.select(*slot, "_cell", F.floor(F.sum("_n").over(earlier) / rows_per_block).alias("_part"))
+    joined = celled.join(stage(cuts, "block-cuts"), [*slot, "_cell"], "left")
+    number = F.col("_slot") * _PARTS + F.coalesce(F.col("_part"), F.lit(0).cast("long"))
+    return joined.withColumn("_block", number).drop("_slot", "_cell", "_part"), axis
 
 
 def attach_carry(df: DataFrame, axis: Axis, value: str, stage: Stage = materialise) -> DataFrame:

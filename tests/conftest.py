@@ -11,7 +11,8 @@ from frostline.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("frostline-tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false")
+    session = build_session("frostline-tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+                            spark__sql__maxMetadataStringLength="2000")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
