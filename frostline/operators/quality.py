@@ -75,13 +75,14 @@ def mask_jumps(df: DataFrame, keys, value="t_processed") -> DataFrame:
 
 def mask_sigma(df: DataFrame, keys, day="d", value="t_processed", sigma=5.0) -> DataFrame:
     """Drop values further from the day-of-year mean than sigma times the mean spread."""
-    # (keys, doy) is clustered by the keys already: these windows re-sort, they do not shuffle.
-    by_doy = Window.partitionBy(*keys, "_doy")
-    out = (
-        df.withColumn("_doy", F.dayofyear(day))
-        .withColumn("_mean", F.avg(value).over(by_doy))
-        .withColumn("_sd", F.stddev_pop(value).over(by_doy))
-        .withColumn("_nth", F.row_number().over(by_doy.orderBy(day)))
+    # (keys, doy) is clustered by the keys already, so these windows re-sort and do not shuffle;
+    # one ordering serves all three.
+    by_doy = Window.partitionBy(*keys, "_doy").orderBy(day)
+    all_years = by_doy.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    framed = df.withColumn("_doy", F.dayofyear(day))
+    out = framed.select(
+        "*", F.avg(value).over(all_years).alias("_mean"), F.stddev_pop(value).over(all_years).alias("_sd"),
+        F.row_number().over(by_doy).alias("_nth"),
     )
     spread = F.avg(F.when(F.col("_nth") == 1, F.col("_sd"))).over(Window.partitionBy(*keys))
     out = out.withColumn("_spread", spread)

@@ -45,8 +45,9 @@ LEADS = range(24, 5161, 24)
 def write_grid(df: DataFrame, path: str, by: str = "valid_time") -> None:
     """Store a grid by variable, year and month (of the valid time, or of the issue)."""
     out = df.withColumn("year", F.year(by)).withColumn("month", F.month(by))
-    # One task per (variable, month) pair would be a hot spot: spread each over its rows.
-    out.write.mode("overwrite").partitionBy("variable", "year", "month").parquet(path)
+    # Rebalancing gathers the rows of a folder into few files and still splits a folder that is
+    # too large for one task; writing as the rows come would make a file per task and folder.
+    out.hint("rebalance", "variable", "year", "month").write.mode("overwrite").partitionBy("variable", "year", "month").parquet(path)
 
 
 def scan_analysis(spark: SparkSession, path: str, variable: str, months: Sequence[int] | None = None,

@@ -55,9 +55,8 @@ def append_forecast(forecast: DataFrame, path: str) -> None:
     checked = forecast.withColumn("_ok", has_mean).withColumn(
         "fud", F.when(F.col("_ok") == 1, F.col("fud")).otherwise(refused)
     )
-    checked.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields]).write.mode("append").partitionBy(
-        "feed", "season"
-    ).parquet(path)
+    rows = checked.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields])
+    rows.hint("rebalance", "feed", "season").write.mode("append").partitionBy("feed", "season").parquet(path)
 
 
 def read_forecast_log(spark: SparkSession, path: str, feed: str | None = None,
