@@ -95,6 +95,12 @@ def doy_to_monthday(number: Column, pattern: str = "MM-dd") -> Column:
     return F.date_format(F.date_add(F.lit(f"{LABEL_YEAR}-01-01").cast("date"), number.cast("int") - 1), pattern)
 
 
+def common_year_number(day: Column) -> Column:
+    """Day number of the month and day in a common year, January to June counted after December."""
+    doy = F.dayofyear(day) - (is_leap(F.year(day)) & (F.month(day) > 2)).cast("int")
+    return doy + F.when(doy < CLIMATOLOGY_FIRST_DOY, SEASON_DAYS).otherwise(0)
+
+
 def shift_minutes(ts: Column, minutes: int) -> Column:
     return ts + F.make_dt_interval(mins=F.lit(minutes))
 

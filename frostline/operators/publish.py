@@ -33,12 +33,16 @@ def freeze_up_labels(fuds: DataFrame, keys: Sequence[str]) -> DataFrame:
                        F.date_format("fud", "MM-dd").alias("monthday"))
 
 
-def series_json(series: DataFrame, keys: Sequence[str], day: str = "d", value: str = "t") -> DataFrame:
+def series_json(series: DataFrame, keys: Sequence[str], day: str = "d", value: str = "t",
+                shown: DataFrame | None = None) -> DataFrame:
     """One JSON object per series: date axis, climatology envelope and one array per season.
 
-    A document is bounded by the calendar (365 numbers per season), not by the sample count.
+    The seasons come from ``shown`` (same columns) where given, the climatology always from
+    ``series``. A document is bounded by the calendar (365 numbers per season), not by the
+    sample count.
     """
-    per_season = seasons.season_arrays(seasons.season_slice(series, keys, day, value), keys, value)
+    placed = seasons.season_slice(series if shown is None else shown, keys, day, value)
+    per_season = seasons.season_arrays(placed, keys, value)
     by_season = per_season.groupBy(*keys).agg(
         F.sort_array(F.collect_list("season_label")).alias("years"),
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("season_label", "days")))).alias("seasons"),
@@ -52,13 +56,17 @@ def series_json(series: DataFrame, keys: Sequence[str], day: str = "d", value: s
 
 
 def freeze_up_json(fuds: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One JSON object per series: season label to MM-dd, plus the mean day under ``clim``."""
-    labels = freeze_up_labels(fuds.where(F.col("fud").isNotNull()), keys)
-    mean = agg.mean_freeze_up(fuds, keys).select(*keys, F.lit("clim").alias("season_label"), "monthday")
-    folded = labels.unionByName(mean).groupBy(*keys).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("season_label", "monthday")))).alias("_m")
-    )
-    return folded.select(*keys, F.to_json("_m").alias("json"))
+    """One JSON object per series: season label to MM-dd, plus the mean day under ``clim``.
+
+    The mean is taken over common-year day numbers, as the labels carry no year.
+    """
+    known = fuds.where(F.col("fud").isNotNull())
+    entries = F.collect_list(F.struct(cal.season_label(F.col("season")).alias("label"),
+                                      F.date_format("fud", "MM-dd").alias("monthday")))
+    mean = cal.doy_to_monthday(F.bround(F.avg(cal.common_year_number(F.col("fud"))), 0))
+    folded = known.groupBy(*keys).agg(F.sort_array(entries).alias("_e"), mean.alias("_mean"))
+    whole = F.concat("_e", F.array(F.struct(F.lit("clim").alias("label"), F.col("_mean").alias("monthday"))))
+    return folded.select(*keys, F.to_json(F.map_from_entries(whole)).alias("json"))
 
 
 def latest_json(latest: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -28,9 +28,9 @@ def clean_samples(samples: DataFrame, keys: Sequence[str], time: str, value: str
 
 def daily_from_samples(samples: DataFrame, keys: Sequence[str], time: str, value: str, order: Sequence[str],
                        rules: RawRules = RawRules(), block: str = "hour") -> DataFrame:
-    """Daily means of the cleaned samples."""
+    """Daily means of the cleaned samples; a day without samples between others is missing."""
     clean = clean_samples(samples, keys, time, value, order, rules, block)
-    return agg.daily_reduce(clean, keys, time, "t_clean", "mean")
+    return agg.resample_daily(clean, keys, time, "t_clean", "mean")
 
 
 def update_daily(stored: DataFrame, samples: DataFrame, keys: Sequence[str], time: str, value: str,

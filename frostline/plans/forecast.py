@@ -34,9 +34,12 @@ def issue_calendar(first: Column, last: Column, source: DataFrame) -> DataFrame:
     return issued.select("issued", F.explode(feeds).alias("feed"))
 
 
-def source_rules(issues: DataFrame) -> DataFrame:
+def source_rules(issues: DataFrame, from_release_day: bool = False) -> DataFrame:
     """Per issue and predictor: target month, preferred source, forecast to use, observed days.
 
+    With ``from_release_day`` observed days are used from the 7th of the target month on, when
+    its own forecast is out (operation); without, as soon as there are any (replay).
+
     Adds season, variable, method, target (month start), analysis_due, forecast_issue (month
     start) and observed_until (weekly feed only). The rules are column expressions over a
     three-entry array, so nothing is joined.
@@ -51,6 +54,8 @@ def source_rules(issues: DataFrame) -> DataFrame:
     latest = F.when(F.dayofmonth(issued) < RELEASE_DAY, F.add_months(this_month, -1)).otherwise(this_month)
     reach = F.least(F.date_sub(issued, ANALYSIS_LAG_DAYS), F.last_day(target))
     partial = (F.col("feed") == "weekly") & (issued < due) & (reach >= target)
+    if from_release_day:
+        partial = partial & (issued >= F.date_add(target, RELEASE_DAY - 1))
     return (
         issues.withColumn("season", cal.forecast_season(issued))
         .withColumn("_spec", F.explode(specs))

@@ -96,15 +96,23 @@ CLEAN = {
 }
 
 
+# Cleaned daily means on the calendar of each series.
+FRESH = {
+    "means": "SELECT k, CAST(ts AS DATE) AS d, avg(t_clean) AS t FROM clean GROUP BY 1, 2",
+    "fresh": """SELECT k, d, t FROM (SELECT k, CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM means GROUP BY k)
+        LEFT JOIN means USING (k, d)""",
+}
+
+
 @query("clean_samples", with_ctes("obs", f"SELECT k, us, {rnd('t_clean')} AS t_clean FROM clean", **CLEAN))
 def clean_samples(spark, sf):
     clean = daily_plan.clean_samples(i.obs(spark, sf), K, "ts", "t", ["event_id"], RULES)
     return clean.select("k", F.unix_micros("ts").alias("us"), "t_clean")
 
 
-@query("daily_ingest", with_ctes("obs", f"""SELECT k, {text('d')} AS d, {rnd('coalesce(s.t, n.t)')} AS t FROM stored s FULL JOIN fresh n USING (k, d)""",
+@query("daily_ingest", with_ctes("obs", f"""SELECT k, {text('d')} AS d, {rnd('CASE WHEN s.k IS NOT NULL THEN s.t ELSE n.t END')} AS t FROM stored s FULL JOIN fresh n USING (k, d)""",
        **CLEAN, stored="SELECT k, CAST(ts AS DATE) AS d, avg(t) AS t FROM obs WHERE ts < TIMESTAMP '2024-01-11' GROUP BY 1, 2",
-       fresh="SELECT k, CAST(ts AS DATE) AS d, avg(t_clean) AS t FROM clean GROUP BY 1, 2"))
+       **FRESH))
 def daily_ingest(spark, sf):
     """Ten stored days, the rest from cleaned samples."""
     samples = i.obs(spark, sf)
@@ -225,3 +233,17 @@ def stream_daily_mean(spark, sf):
        FROM obs WHERE t < 0.75 GROUP BY 1, 2"""))
 def frozen_latch_stream(spark, sf):
     return stream.streamed_table(stream.latch_stream(obs_stream(spark, sf), K, "ts", "t"), "latch")
+
+
+DAILY_SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("d", T.DateType()), T.StructField("t", T.DoubleType())])
+
+
+@query("stream_clean_daily", with_ctes("", f"""SELECT k, {text('d')} AS d, {rnd('t')} AS t FROM fresh JOIN last_days USING (k) WHERE d < last_d""",
+       obs=i.CTES["obs"].replace("FROM events", "FROM events JOIN (SELECT event_type, max(CAST(ts AS DATE)) AS open_d FROM events GROUP BY 1) USING (event_type) WHERE CAST(ts AS DATE) < open_d"),
+       **CLEAN, **FRESH, last_days="SELECT event_type AS k, max(CAST(ts AS DATE)) AS last_d FROM events GROUP BY 1"))
+def stream_clean_daily(spark, sf):
+    """The whole daily ingestion on a stream: samples kept, finished days cleaned and inserted."""
+    path = session.new_folder(spark, "clean-daily")
+    sink = stream.clean_daily_table(f"{path}/raw", f"{path}/daily", K, "ts", "t", RULES)
+    stream.run_available(obs_stream(spark, sf), sink, f"{path}/checkpoint")
+    return tables.read_table(spark, f"{path}/daily", DAILY_SCHEMA)

@@ -9,6 +9,7 @@ from frostline.functions import values as val
 from frostline.operators import aggregate as agg
 from frostline.operators import align, ordered, publish, quality, seasons
 from frostline.operators.quality import DailyRules
+from frostline.plans import chart
 from frostline.plans import daily as daily_plan
 from frostline.plans import yearly
 from frostline.registry import inputs as i
@@ -319,9 +320,16 @@ def freeze_up_labels(spark, sf):
     return publish.freeze_up_labels(simple_fuds(spark, sf), K)
 
 
-@query("freeze_up_json", with_ctes("daily", """SELECT k, season || '/' || (season + 1) AS season_label, strftime(fud, '%m-%d') AS monthday
+def label_mean_sql(day: str) -> str:
+    """Mean common-year day number, half to even, as MM-dd."""
+    doy = f"(dayofyear({day}) - CASE WHEN dayofyear(make_date(year({day}), 12, 31)) = 366 AND month({day}) > 2 THEN 1 ELSE 0 END)"
+    number = f"({doy} + CASE WHEN {doy} < 182 THEN 365 ELSE 0 END)"
+    return f"strftime(DATE '2001-01-01' + CAST(round_even(avg({number}), 0) AS INTEGER) - 1, '%m-%d')"
+
+
+@query("freeze_up_json", with_ctes("daily", f"""SELECT k, season || '/' || (season + 1) AS season_label, strftime(fud, '%m-%d') AS monthday
        FROM c WHERE fud IS NOT NULL UNION ALL
-       SELECT k, 'clim', strftime(DATE '2001-01-01' + CAST(round_even(avg(fudoy), 0) AS INTEGER) - 1, '%m-%d') FROM c GROUP BY k""",
+       SELECT k, 'clim', {label_mean_sql('fud')} FROM c WHERE fud IS NOT NULL GROUP BY k""",
        c=crossing_sql("daily", "t", 3.0)))
 def freeze_up_json(spark, sf):
     """The documents parsed again into their entries."""
@@ -332,14 +340,51 @@ def freeze_up_json(spark, sf):
 JSON_SCHEMA = "date array<string>, years array<string>, clim array<double>, `clim-std` array<double>, `clim+std` array<double>, seasons map<string,array<double>>"
 
 
-@query("series_json", with_ctes("daily", f"""SELECT k, season_label AS part, pos, {rnd('t')} AS x FROM matrix
-       UNION ALL SELECT k, 'clim', pos, {rnd('m')} FROM c UNION ALL SELECT k, 'clim-std', pos, {rnd('lo')} FROM c
-       UNION ALL SELECT k, 'clim+std', pos, {rnd('band')} FROM c""", **MATRIX,
-       c="""SELECT k, (dayofyear(d) - 182 + 365) % 365 AS pos, avg(t) AS m, min(t) AS lo, max(t) - min(t) AS band
-            FROM daily WHERE dayofyear(d) <= 365 GROUP BY k, dayofyear(d)"""))
-def series_json(spark, sf):
-    """The documents parsed again, one row per array element."""
-    parsed = publish.series_json(i.daily(spark, sf), K).select("k", F.from_json("json", JSON_SCHEMA).alias("j"))
+def json_parts(documents):
+    """Documents parsed again, one row per array element."""
+    parsed = documents.select("k", F.from_json("json", JSON_SCHEMA).alias("j"))
     envelope = F.create_map(*[x for n in ("clim", "clim-std", "clim+std") for x in (F.lit(n), F.col(f"j.`{n}`"))])
     parts = parsed.select("k", F.explode(F.map_concat(envelope, "j.seasons")).alias("part", "days"))
     return parts.select("k", "part", F.posexplode("days").alias("pos", "x"))
+
+
+PARTS_SQL = f"""SELECT k, season_label AS part, pos, {rnd('t')} AS x FROM matrix
+       UNION ALL SELECT k, 'clim', pos, {rnd('m')} FROM c UNION ALL SELECT k, 'clim-std', pos, {rnd('lo')} FROM c
+       UNION ALL SELECT k, 'clim+std', pos, {rnd('band')} FROM c"""
+
+
+def envelope_sql(source: str, value: str) -> str:
+    return f"""SELECT a.k, a.pos, m, lo, band FROM (SELECT k, unnest(range(0, 365)) AS pos FROM (SELECT DISTINCT k FROM {source})) a
+        LEFT JOIN (SELECT k, (dayofyear(d) - 182 + 365) % 365 AS pos, avg({value}) AS m, min({value}) AS lo, max({value}) - min({value}) AS band
+                   FROM {source} WHERE dayofyear(d) <= 365 GROUP BY k, dayofyear(d)) e ON e.k = a.k AND e.pos = a.pos"""
+
+
+@query("series_json", with_ctes("daily", PARTS_SQL, **MATRIX, c=envelope_sql("daily", "t")))
+def series_json(spark, sf):
+    return json_parts(publish.series_json(i.daily(spark, sf), K))
+
+
+AS_OF = "2001-02-15"
+
+
+@query("chart_series", with_ctes(FULL, PARTS_SQL, **CHAIN, **OFFSET,
+       mo="SELECT k, avg(t_winter_offset) AS mo FROM noff GROUP BY k",
+       shown="""SELECT k, d, t_no_offset AS t FROM noff WHERE d < DATE '2000-07-01' UNION ALL
+                SELECT k, d, CASE WHEN t - mo < 0 THEN 0 ELSE t - mo END FROM daily JOIN mo USING (k) WHERE d >= DATE '2000-07-01' AND d < DATE '2001-02-15'""",
+       placed=MATRIX["placed"].replace("FROM daily", "FROM shown"), sliced=MATRIX["sliced"], matrix=MATRIX["matrix"],
+       known="SELECT k, d, t_no_offset AS t FROM noff WHERE d <= DATE '2000-06-30'", c=envelope_sql("known", "t")))
+def chart_series(spark, sf):
+    return json_parts(chart.chart_series(processed(spark, sf), i.daily(spark, sf), K, AS_OF))
+
+
+@query("chart_freeze_up", with_ctes("daily", f"""SELECT k, season, {text('fud')} AS fud FROM c WHERE season < 2000
+       UNION ALL SELECT k, 2000, {text('coalesce(l.d, DATE ' + "'2000-12-31'" + ' - CAST(floor(t9) AS INTEGER))')} FROM f LEFT JOIN l USING (k)""",
+       c=crossing_sql("daily", "t", 3.0),
+       l="SELECT k, min(d) AS d FROM daily WHERE t < 0.3 AND d >= DATE '2000-07-01' AND d < DATE '2001-02-15' GROUP BY k",
+       f="SELECT k, avg(t) AS t9 FROM daily GROUP BY k"))
+def chart_freeze_up(spark, sf):
+    full = i.daily(spark, sf)
+    latched = daily_plan.frozen_latch(full.where(F.col("d") < F.lit(AS_OF).cast("date")), K, threshold=0.3)
+    expected = full.groupBy("k").agg(F.floor(F.avg("t")).cast("int").alias("n")).select(
+        "k", F.lit(2000).alias("season"), F.date_sub(F.lit("2000-12-31").cast("date"), F.col("n")).alias("fud_date"))
+    return chart.chart_freeze_up(simple_fuds(spark, sf), latched, expected, K, AS_OF)

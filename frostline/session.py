@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_private: dict[str, str] = {}
+
 # How a plan cuts its lineage: a frame and a label in, an equal frame out.
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -45,14 +47,15 @@ def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for materialised stages and stream checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a
-    laptop) a private folder is made and remembered in the session.
+    laptop) a private folder is made, one per application.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-        folder = tempfile.mkdtemp(prefix="frostline-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
+        folder = _private.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="frostline-")
+        _private[context.applicationId] = folder
     return folder.rstrip("/")
 
 

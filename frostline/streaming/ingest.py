@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from frostline import session
 from frostline.functions import calendar as cal
 from frostline.operators import align
+from frostline.operators.quality import RawRules
+from frostline.plans import daily as daily_plan
 from frostline.sources import tables
 
 
@@ -74,6 +76,39 @@ def insert_only_table(path: str, schema: T.StructType, key: Sequence[str]) -> Ca
     return write
 
 
+def clean_daily_table(raw_path: str, path: str, keys: Sequence[str], time: str, value: str,
+                      rules: RawRules = RawRules()) -> Callable[[DataFrame, int], None]:
+    """Sink of the daily ingestion: keep the samples, clean the finished days, insert them.
+
+    Each batch writes its samples under its own number, so a repeated batch replaces itself.
+    Only samples after a series' last stored day and before its newest day are cleaned: the
+    newest day is still open. Version N+1 of the daily table is built from version N.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        kept = batch.select(*keys, time, value, F.to_date(time).alias("d"), F.monotonically_increasing_id().alias("line"))
+        kept.hint("rebalance", "d").write.mode("overwrite").partitionBy("d").parquet(f"{raw_path}/batch={batch_id}")
+        # Folder names come back as read: the schema keeps the day a date and the batch a number.
+        raw = spark.read.schema(kept.schema.add("batch", T.LongType())).parquet(raw_path).where(F.col("batch") <= batch_id)
+        newest = raw.groupBy(*keys).agg(F.max("d").alias("_open"))
+        if batch_id > 0:
+            schema = T.StructType([*[batch.schema[k] for k in keys], T.StructField("d", T.DateType()), T.StructField("t", T.DoubleType())])
+            stored = spark.read.schema(schema).parquet(f"{path}/version={batch_id}")
+            newest = newest.join(stored.groupBy(*keys).agg(F.max("d").alias("_last")), list(keys), "left")
+        else:
+            stored, newest = None, newest.withColumn("_last", F.lit(None).cast("date"))
+        bounds = session.materialise(newest, "open-days")
+        todo = raw.join(bounds, list(keys)).where(
+            (F.col("d") < F.col("_open")) & (F.col("_last").isNull() | (F.col("d") > F.col("_last")))
+        )
+        new = daily_plan.daily_from_samples(todo, keys, time, value, ["batch", "line"], rules).select(*keys, "d", "t")
+        merged = new if stored is None else align.insert_only_merge(stored, new, [*keys, "d"])
+        tables.write_table(merged, path, batch_id + 1)
+
+    return write
+
+
 def streamed_table(stream: DataFrame, label: str) -> DataFrame:
     """Run a complete-mode stream over everything available and return its final table."""
     spark = stream.sparkSession
