@@ -246,4 +246,4 @@ def stream_clean_daily(spark, sf):
     path = session.new_folder(spark, "clean-daily")
     sink = stream.clean_daily_table(f"{path}/raw", f"{path}/daily", K, "ts", "t", RULES)
     stream.run_available(obs_stream(spark, sf), sink, f"{path}/checkpoint")
-    return tables.read_table(spark, f"{path}/daily", DAILY_SCHEMA)
+    return stream.inserted_rows(spark, f"{path}/daily", DAILY_SCHEMA)

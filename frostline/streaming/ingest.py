@@ -62,16 +62,26 @@ def replace_table(path: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, batch_id: tables.write_table(batch, path, batch_id + 1)
 
 
-def insert_only_table(path: str, schema: T.StructType, key: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """Sink for closed days: stored labels win. Version N+1 is built from version N, so a
-    repeated batch writes the same version again."""
+def inserted_rows(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """Rows of an insert-only table, optionally only those of earlier batches."""
+    table = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    return (table if before is None else table.where(F.col("batch") < before)).drop("batch")
+
+
+def insert_only_table(path: str, schema: T.StructType, key: Sequence[str], day: str = "d") -> Callable[[DataFrame, int], None]:
+    """Sink for closed days: stored labels win, and nothing stored is rewritten.
+
+    A batch adds one folder with the labels not stored before, so a repeated batch replaces
+    its own folder. Only the stored days the batch touches are compared.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = batch.select(*schema.fieldNames())
+        new = session.materialise(batch.select(*schema.fieldNames()), "closed-days")
         if batch_id > 0:
-            stored = batch.sparkSession.read.schema(schema).parquet(f"{path}/version={batch_id}")
-            new = align.insert_only_merge(stored, new, key)
-        tables.write_table(new, path, batch_id + 1)
+            span = new.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+            stored = inserted_rows(batch.sparkSession, path, schema, batch_id).where(F.col(day).between(span.lo, span.hi))
+            new = align.rows_to_insert(stored, new, key)
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 
@@ -80,31 +90,40 @@ def clean_daily_table(raw_path: str, path: str, keys: Sequence[str], time: str,
                       rules: RawRules = RawRules()) -> Callable[[DataFrame, int], None]:
     """Sink of the daily ingestion: keep the samples, clean the finished days, insert them.
 
-    Each batch writes its samples under its own number, so a repeated batch replaces itself.
-    Only samples after a series' last stored day and before its newest day are cleaned: the
-    newest day is still open. Version N+1 of the daily table is built from version N.
+    A batch writes its samples, its new days and the first open day of every series into
+    folders of its own number, so a repeated batch replaces itself and nothing else is
+    rewritten. Only the series of the batch are cleaned, from their first day not stored yet
+    to the day before their newest, which is still open; later samples of stored days are
+    kept but change nothing. The samples are stored by day and read from the earliest of
+    those days on.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         kept = batch.select(*keys, time, value, F.to_date(time).alias("d"), F.monotonically_increasing_id().alias("line"))
         kept.hint("rebalance", "d").write.mode("overwrite").partitionBy("d").parquet(f"{raw_path}/batch={batch_id}")
-        # Folder names come back as read: the schema keeps the day a date and the batch a number.
-        raw = spark.read.schema(kept.schema.add("batch", T.LongType())).parquet(raw_path).where(F.col("batch") <= batch_id)
-        newest = raw.groupBy(*keys).agg(F.max("d").alias("_open"))
+        raw = spark.read.schema(kept.schema.add("batch", T.LongType())).parquet(raw_path)
+
+        state_schema = T.StructType([*[batch.schema[k] for k in keys], T.StructField("first_open", T.DateType())])
+        seen = raw.where(F.col("batch") == batch_id).groupBy(*keys).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
         if batch_id > 0:
-            schema = T.StructType([*[batch.schema[k] for k in keys], T.StructField("d", T.DateType()), T.StructField("t", T.DoubleType())])
-            stored = spark.read.schema(schema).parquet(f"{path}/version={batch_id}")
-            newest = newest.join(stored.groupBy(*keys).agg(F.max("d").alias("_last")), list(keys), "left")
+            state = spark.read.schema(state_schema).parquet(f"{path}-state/version={batch_id}")
         else:
-            stored, newest = None, newest.withColumn("_last", F.lit(None).cast("date"))
-        bounds = session.materialise(newest, "open-days")
-        todo = raw.join(bounds, list(keys)).where(
-            (F.col("d") < F.col("_open")) & (F.col("_last").isNull() | (F.col("d") > F.col("_last")))
+            state = spark.createDataFrame([], state_schema)
+        bounds = session.materialise(seen.join(state, list(keys), "left").select(
+            *keys, F.coalesce("first_open", "lo").alias("first_open"), F.greatest("first_open", "hi").alias("still_open")
+        ), "open-days")
+
+        earliest = bounds.agg(F.min("first_open")).first()[0]
+        todo = raw.where((F.col("batch") <= batch_id) & (F.col("d") >= F.lit(earliest))).join(bounds, list(keys)).where(
+            (F.col("d") >= F.col("first_open")) & (F.col("d") < F.col("still_open"))
+        )
+        new = daily_plan.daily_from_samples(todo, keys, time, value, ["batch", "line"], rules)
+        new.select(*keys, "d", "t").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        opened = bounds.select(*keys, F.col("still_open").alias("first_open")).unionByName(
+            state.join(bounds.select(*keys), list(keys), "left_anti")
         )
-        new = daily_plan.daily_from_samples(todo, keys, time, value, ["batch", "line"], rules).select(*keys, "d", "t")
-        merged = new if stored is None else align.insert_only_merge(stored, new, [*keys, "d"])
-        tables.write_table(merged, path, batch_id + 1)
+        tables.write_table(opened, f"{path}-state", batch_id + 1)
 
     return write
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from frostline.operators import aggregate as agg
 from frostline.plans import daily as daily_plan
-from frostline.sources import tables
+from frostline.operators.quality import RawRules
 from frostline.streaming import ingest
 from helpers import at, day
 
@@ -61,7 +61,7 @@ def test_closed_days_are_inserted_once_and_resume(spark, tmp_path):
     def run():
         days = ingest.daily_mean_stream(ingest.tail_files(spark, folder, SCHEMA, files_per_trigger=1), K, "ts", "t", "1 hour")
         ingest.run_available(days, ingest.insert_only_table(table, DAILY, ["k", "d"]), checkpoint)
-        return key(tables.read_table(spark, table, DAILY))
+        return key(ingest.inserted_rows(spark, table, DAILY))
 
     put(spark, folder, rows("2024-01-01", 2))
     first = run()
@@ -83,4 +83,36 @@ def test_insert_only_sink_repeats_a_batch_without_harm(spark, tmp_path):
     sink(one, 0)
     sink(two, 1)
     sink(two, 1)
-    assert key(tables.read_table(spark, path, DAILY)) == [("a", day("2024-01-01"), 1.0), ("a", day("2024-01-02"), 2.0)]
+    assert key(ingest.inserted_rows(spark, path, DAILY)) == [("a", day("2024-01-01"), 1.0), ("a", day("2024-01-02"), 2.0)]
+
+
+def test_daily_ingestion_over_batches(spark, tmp_path):
+    """Finished days come from the samples after the last stored day; open and late samples wait or are ignored."""
+    rules = RawRules(max_per_hour=0.5, upper=30.0, deviation=3.0)
+    folder, table, checkpoint = (str(tmp_path / n) for n in ("in", "daily", "checkpoint"))
+
+    def run():
+        sink = ingest.clean_daily_table(str(tmp_path / "raw"), table, K, "ts", "t", rules)
+        ingest.run_available(ingest.tail_files(spark, folder, SCHEMA, files_per_trigger=1), sink, checkpoint)
+        return key(ingest.inserted_rows(spark, table, DAILY))
+
+    def expected(*parts):
+        out = []
+        for samples in parts:
+            frame = spark.createDataFrame(samples, SCHEMA).withColumn("n", F.lit(0))
+            out += key(daily_plan.daily_from_samples(frame, K, "ts", "t", ["n"], rules).select("k", "d", "t"))
+        return sorted(out)
+
+    first, second = rows("2024-01-01", 3, 1), rows("2024-01-04", 3, 1)
+    both = sorted(first + second)
+    put(spark, folder, first)
+    closed = [r for r in both if r[1] < at("2024-01-03")]
+    assert run() == expected(closed)
+    put(spark, folder, second + [("c", at("2024-01-01 12:00"), 1.0)])
+    after = [r for r in both if at("2024-01-03") <= r[1] < at("2024-01-06")]
+    assert run() == expected(closed, after)
+    put(spark, folder, rows("2024-01-01", 1, 1, offset=9.0))  # late: nothing changes
+    assert run() == expected(closed, after)
+    put(spark, folder, [("c", at("2024-01-03 12:00"), 2.0)])  # a series that had only an open day
+    got = [r for r in run() if r[0] == "c"]
+    assert got == [("c", day("2024-01-01"), None)]  # one sample has no rate of change, so it is masked
