@@ -50,7 +50,7 @@ def main(argv: list[str]) -> None:
     hot_path = materialise(hot.repartition(64), "hot").inputFiles()[0].rsplit("/", 1)[0]
     spark.stop()
 
-    for cpus in (2, 4, 8):
+    for cpus in [int(c) for c in os.environ.get("BENCH_CPU_STEPS", "2,4,8").split(",")]:
         spark = session(cpus)
         series = spark.read.parquet(path)
         timed(yearly.observed_freeze_up(yearly.processed_series(series.where("k like '%#1'"), ["k"], RULES), ["k"], rules=RULES))

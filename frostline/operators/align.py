@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frostline.operators import ordered as o
+from frostline.operators.first import first_rows
 
 
 def stack(*frames: DataFrame) -> DataFrame:
@@ -33,10 +34,8 @@ def merge_no_conflict(frames: Sequence[DataFrame], on: Sequence[str], value: str
 
 def insert_only_merge(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """Union by label where the stored record wins, whatever its value."""
-    rest = [c for c in stored.columns if c not in key]
     both = stored.withColumn("_rank", F.lit(0)).unionByName(new.withColumn("_rank", F.lit(1)))
-    picked = both.groupBy(*key).agg(F.min_by(F.struct(*rest), "_rank").alias("_row"))
-    return picked.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    return first_rows(both, key, ["_rank"]).drop("_rank")
 
 
 def rows_to_insert(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -46,13 +45,10 @@ def rows_to_insert(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> Dat
 
 def prefer_source(sources: Sequence[tuple[str, DataFrame]], on: Sequence[str], value: str = "value") -> DataFrame:
     """Per label the value of the first listed source that has one, with that source's name."""
-    ranked = [
-        f.select(*on, value, F.lit(i).alias("_rank"), F.lit(name).alias("source"))
-        for i, (name, f) in enumerate(sources)
-    ]
-    known = stack(*ranked).where(F.col(value).isNotNull())
-    best = known.groupBy(*on).agg(F.min_by(F.struct(value, "source"), "_rank").alias("_row"))
-    return best.select(*on, F.col(f"_row.{value}").alias(value), F.col("_row.source").alias("source"))
+    ranked = [f.select(*on, value, F.lit(i).alias("_rank")) for i, (_, f) in enumerate(sources)]
+    best = first_rows(stack(*ranked).where(F.col(value).isNotNull()), on, ["_rank"])
+    names = F.array(*[F.lit(name) for name, _ in sources])
+    return best.select(*on, value, F.get(names, F.col("_rank")).alias("source"))
 
 
 def require_labels(df: DataFrame, required: DataFrame, on: Sequence[str], value: str = "value") -> DataFrame:

@@ -162,32 +162,37 @@ def ffill(value: Column, axis: Axis) -> Column:
     return _or(F.last(value, ignorenulls=True).over(running), axis.carried("seen_before"))
 
 
-def differentiate(value: Column, axis: Axis, unit_micros: int, filled: bool = True) -> Column:
-    """Second-order difference on uneven spacing, one-sided at the ends of the series.
+def spacing(axis: Axis, unit_micros: int) -> tuple[Column, Column]:
+    """Distance to the row before and to the row after, in units; NULL at the series' ends."""
+    w, pos, unit = axis.forward(), F.col(axis.pos), F.lit(float(unit_micros))
+    before = _or(F.lag(pos).over(w), axis.carried("prev_pos"))
+    after = _or(F.lead(pos).over(w), axis.carried("next_pos"))
+    return (pos - before) / unit, (after - pos) / unit
+
+
+def gradient(value: Column, before: Column, after: Column, hs: Column, hd: Column) -> Column:
+    """Second-order difference on uneven spacing, one-sided where there is no row before or after."""
+    inner = (hs * hs * after + (hd * hd - hs * hs) * value - hd * hd * before) / (hs * hd * (hd + hs))
+    return F.when(hs.isNull(), (after - value) / hd).when(hd.isNull(), (value - before) / hs).otherwise(inner)
+
+
+def differentiate(value: Column, axis: Axis, hs: Column, hd: Column, filled: bool = True) -> Column:
+    """Derivative of a value given the spacing.
 
     In the blocked layout ``value`` must be the forward fill of the carried column
     (``filled``), since only then the neighbour beyond the border is known from the carry.
     """
     w = axis.forward()
-    pos = F.col(axis.pos)
-    before_pos, after_pos = F.lag(pos).over(w), F.lead(pos).over(w)
     before, after = F.lag(value).over(w), F.lead(value).over(w)
     if axis.block:
         if not filled:
             raise ValueError("the blocked derivative is defined on the forward-filled value")
         # the position decides whether the neighbour is inside the block, not its value
-        before = F.when(before_pos.isNull(), axis.carried("seen_before")).otherwise(before)
-        after = F.when(after_pos.isNull(), F.coalesce(axis.carried("next_value"), value)).otherwise(after)
-        before_pos = F.coalesce(before_pos, axis.carried("prev_pos"))
-        after_pos = F.coalesce(after_pos, axis.carried("next_pos"))
-    unit = F.lit(float(unit_micros))
-    hs, hd = (pos - before_pos) / unit, (after_pos - pos) / unit
-    inner = (hs * hs * after + (hd * hd - hs * hs) * value - hd * hd * before) / (hs * hd * (hd + hs))
-    return (
-        F.when(before_pos.isNull(), (after - value) / hd)
-        .when(after_pos.isNull(), (value - before) / hs)
-        .otherwise(inner)
-    )
+        pos = F.col(axis.pos)
+        before = F.when(F.lag(pos).over(w).isNull(), axis.carried("seen_before")).otherwise(before)
+        beyond = F.coalesce(axis.carried("next_value"), value)
+        after = F.when(F.lead(pos).over(w).isNull(), beyond).otherwise(after)
+    return gradient(value, before, after, hs, hd)
 
 
 def bracket(value: Column, axis: Axis) -> tuple[Column, Column, Column, Column]:
@@ -257,10 +262,11 @@ def differentiate_series(df, keys, time="d", value="t", out="dt", unit: str = DA
     size = int(per * MICROS[unit])
 
     def build(x: DataFrame, a: Axis) -> DataFrame:
-        if not fill and a.block is None:
-            return x.withColumn(out, differentiate(F.col(value), a, size))
-        x = x.withColumn("_filled", ffill(F.col(value), a))
-        return x.withColumn(out, differentiate(F.col("_filled"), a, size, filled=fill)).drop("_filled")
+        source = ffill(F.col(value), a) if fill or a.block else F.col(value)
+        hs, hd = spacing(a, size)
+        x = x.select("*", source.alias("_source"), hs.alias("_hs"), hd.alias("_hd"))
+        derived = differentiate(F.col("_source"), a, F.col("_hs"), F.col("_hd"), filled=fill)
+        return x.withColumn(out, derived).drop("_source", "_hs", "_hd")
 
     return _apply(df, keys, time, value, block, build)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from frostline.functions import values as val
 from frostline.operators import ordered as o
+from frostline.operators.first import first_rows
 from frostline.session import Stage, materialise
 
 
@@ -46,11 +47,11 @@ def derivatives(df: DataFrame, keys: Sequence[str], day: str = "d", value: str =
                 unit_days: float = 2.0) -> DataFrame:
     """First and second derivative of the forward-filled daily series, as dt and d2t."""
     framed, axis = o.with_axis(df, keys, day)
-    size = int(unit_days * o.MICROS[o.DAY])
-    out = framed.withColumn("_filled", o.ffill(F.col(value), axis))
-    out = out.withColumn("dt", o.differentiate(F.col("_filled"), axis, size))
-    out = out.withColumn("d2t", o.differentiate(F.col("dt"), axis, size))
-    return o.drop_axis(out).drop("_filled")
+    hs, hd = o.spacing(axis, int(unit_days * o.MICROS[o.DAY]))
+    out = framed.select("*", o.ffill(F.col(value), axis).alias("_filled"), hs.alias("_hs"), hd.alias("_hd"))
+    for source, name in (("_filled", "dt"), ("dt", "d2t")):
+        out = out.withColumn(name, o.differentiate(F.col(source), axis, F.col("_hs"), F.col("_hd")))
+    return o.drop_axis(out).drop("_filled", "_hs", "_hd")
 
 
 def mask_constant_runs(df: DataFrame, keys, day="d", source="t", value="t_processed", eps=0.1, above=2.0,
@@ -97,10 +98,12 @@ def mask_spikes(df: DataFrame, keys, day="d", value="t", limit=6.0, upper=30.0,
     A missing derivative loses the value.
     """
     framed, axis = o.with_axis(df, keys, day)
-    framed = framed.withColumn("_filled", o.ffill(F.col(value), axis))
-    framed = framed.withColumn("_dt", o.differentiate(F.col("_filled"), axis, int(unit_days * o.MICROS[o.DAY])))
+    hs, hd = o.spacing(axis, int(unit_days * o.MICROS[o.DAY]))
+    framed = framed.select("*", o.ffill(F.col(value), axis).alias("_filled"), hs.alias("_hs"), hd.alias("_hd"))
+    framed = framed.withColumn("_dt", o.differentiate(F.col("_filled"), axis, F.col("_hs"), F.col("_hd")))
     ok = (F.abs("_dt") <= limit) & val.within_upper(F.col(value), upper)
-    return o.drop_axis(framed.withColumn(out, val.keep_where(F.col(value), ok))).drop("_filled", "_dt")
+    return o.drop_axis(framed.withColumn(out, val.keep_where(F.col(value), ok))).drop(
+        "_filled", "_hs", "_hd", "_dt")
 
 
 def quality_chain(daily: DataFrame, keys: Sequence[str], day: str = "d", value: str = "t",
@@ -125,14 +128,8 @@ def quality_chain(daily: DataFrame, keys: Sequence[str], day: str = "d", value:
 
 
 def dedupe_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first in the given order.
-
-    An aggregate rather than a ranking window: copies collapse inside the mappers, so a
-    stamp repeated millions of times never meets in one task.
-    """
-    rest = [c for c in df.columns if c not in key]
-    picked = df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    """One row per key, the first in the given order."""
+    return first_rows(df, key, order)
 
 
 def mask_own_day_deviation(df: DataFrame, keys: Sequence[str], time: str, value: str, limit: float = 3.0,
@@ -160,10 +157,12 @@ def raw_quality_chain(samples: DataFrame, keys: Sequence[str], time: str = "ts",
     """
     framed, axis = o.with_axis(samples, keys, time, block, stage=stage)
     out = o.attach_carry(framed, axis, value, stage)
-    out = out.withColumn("_filled", o.ffill(F.col(value), axis))
-    out = out.withColumn("_rate", o.differentiate(F.col("_filled"), axis, o.MICROS[o.HOUR]))
+    hs, hd = o.spacing(axis, o.MICROS[o.HOUR])
+    out = out.select("*", o.ffill(F.col(value), axis).alias("_filled"), hs.alias("_hs"), hd.alias("_hd"))
+    out = out.withColumn("_rate", o.differentiate(F.col("_filled"), axis, F.col("_hs"), F.col("_hd")))
     ok = (F.abs("_rate") < rules.max_per_hour) & val.within_upper(F.col(value), rules.upper, inclusive=False)
-    calm = stage(out.withColumn("t_clean", val.keep_where(F.col(value), ok)).drop("_filled", "_rate", "_carry"), "calm")
+    calm = stage(out.withColumn("t_clean", val.keep_where(F.col(value), ok)).drop(
+        "_filled", "_hs", "_hd", "_rate", "_carry"), "calm")
     near = mask_own_day_deviation(calm, keys, time, "t_clean", rules.deviation, rules.two_sided, "t_clean", stage)
     near = o.attach_carry(near, axis, "t_clean", stage)
     return o.drop_axis(near.withColumn("t_clean", o.interpolate(F.col("t_clean"), axis)))

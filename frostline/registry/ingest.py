@@ -124,7 +124,7 @@ SMOOTH = sql_derivative("filled", "f", "pos", 2, "dt")
 
 
 @query("bootstrap_series", with_ctes("daily_exact", f"""SELECT k, {text('d')} AS d, {rnd('coalesce(o.t, e.t, l.t)')} AS t
-       FROM old o FULL JOIN ext e USING (k, d) FULL JOIN late l USING (k, d)""",
+       FROM full_old o FULL JOIN ext e USING (k, d) FULL JOIN late l USING (k, d)""",
        old="SELECT * FROM daily_exact WHERE d < DATE '1998-01-01'", late="SELECT * FROM daily_exact WHERE d >= DATE '1999-01-01'",
        bounds="SELECT k, min(d) AS lo, max(d) AS hi FROM old GROUP BY k",
        days=i.CTES["days"], full_old="SELECT k, d, t FROM days LEFT JOIN old USING (k, d)",

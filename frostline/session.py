@@ -29,6 +29,8 @@ def build_session(app_name: str = "frostline", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # a daily series of many decades still fits a window's row buffer without spilling
+        .config("spark.sql.windowExec.buffer.in.memory.threshold", "32768")
     )
     if master:
         builder = builder.master(master)

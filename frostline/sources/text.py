@@ -38,22 +38,36 @@ def station_of(name: Column, station_folders: bool = False) -> Column:
     return F.col("series_key") if station_folders else F.regexp_extract(name, r"^([^.]+)", 1)
 
 
+def _sensor_columns(raw: DataFrame, bad: str, station_folders: bool) -> DataFrame:
+    name, ts = F.col("_metadata.file_name"), F.try_to_timestamp("c0")
+    return raw.select(
+        "*",
+        station_of(name, station_folders).alias("_station"), file_number(name).alias("file_seq"),
+        ts.alias("ts"), val.parse_value(F.col("c2"), bad).alias("t"),
+        F.when(ts.isNull(), F.coalesce("_corrupt", F.concat_ws(",", "c0", "c1", "c2"))).alias("corrupt"),
+    )
+
+
 def read_sensor_log(spark: SparkSession, path: str, bad: str = "Bad", station_folders: bool = False) -> DataFrame:
     """Headerless quoted log: field 0 the time, field 2 the value.
 
     ``file_seq`` then ``line`` give the arrival order that decides which duplicate is first.
     Unreadable lines keep their text in ``corrupt`` instead of failing the load.
     """
-    raw = _read_fields(spark, path, SENSOR_FIELDS, station_folders)
-    name = F.col("_metadata.file_name")
-    return raw.select(
-        station_of(name, station_folders).alias("series_key"),
-        F.try_to_timestamp("c0").alias("ts"),
-        val.parse_value(F.col("c2"), bad).alias("t"),
-        file_number(name).alias("file_seq"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("line"),
-        F.when(F.try_to_timestamp("c0").isNull(), F.coalesce("_corrupt", F.concat_ws(",", "c0", "c1", "c2"))).alias("corrupt"),
+    rows = _sensor_columns(_read_fields(spark, path, SENSOR_FIELDS, station_folders), bad, station_folders)
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return rows.select(F.col("_station").alias("series_key"), "ts", "t", "file_seq", line.alias("line"), "corrupt")
+
+
+def sensor_log_stream(spark: SparkSession, path: str, bad: str = "Bad", station_folders: bool = False,
+                      files_per_trigger: int = 1000) -> DataFrame:
+    """The same log as a stream of new files: series_key, ts, t, file_seq, corrupt."""
+    raw = (
+        spark.readStream.schema(_text_schema(SENSOR_FIELDS, station_folders)).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt").option("maxFilesPerTrigger", files_per_trigger).csv(path)
     )
+    rows = _sensor_columns(raw, bad, station_folders)
+    return rows.select(F.col("_station").alias("series_key"), "ts", "t", "file_seq", "corrupt")
 
 
 def good_rows(log: DataFrame) -> DataFrame:

@@ -116,3 +116,28 @@ def test_daily_ingestion_over_batches(spark, tmp_path):
     put(spark, folder, [("c", at("2024-01-03 12:00"), 2.0)])  # a series that had only an open day
     got = [r for r in run() if r[0] == "c"]
     assert got == [("c", day("2024-01-01"), None)]  # one sample has no rate of change, so it is masked
+
+
+def test_logger_files_to_daily_series(spark, tmp_path):
+    """Text files through the stream: bad tokens and broken lines do not stop it."""
+    from frostline.sources import text
+
+    folder = tmp_path / "log"
+    folder.mkdir()
+
+    def put_file(number, day_text, token="2.5"):
+        lines = [f'"{day_text} {h:02d}:00:00","{h}","{token if h else "Bad"}","a","b","c"' for h in range(24)]
+        (folder / f"North.dat{number}.dat").write_text("\n".join([*lines, "broken"]) + "\n")
+
+    def run():
+        log = text.sensor_log_stream(spark, str(folder)).where("corrupt IS NULL")
+        sink = ingest.clean_daily_table(str(tmp_path / "raw"), str(tmp_path / "daily"), ["series_key"], "ts", "t")
+        ingest.run_available(log, sink, str(tmp_path / "checkpoint"))
+        schema = T.StructType([T.StructField("series_key", T.StringType()), *DAILY.fields[1:]])
+        return sorted((r.series_key, r.d, r.t) for r in ingest.inserted_rows(spark, str(tmp_path / "daily"), schema).collect())
+
+    put_file(1, "2025-01-01")
+    put_file(2, "2025-01-02")
+    assert run() == [("North", day("2025-01-01"), 2.5)]
+    put_file(3, "2025-01-03", "3.5")
+    assert run() == [("North", day("2025-01-01"), 2.5), ("North", day("2025-01-02"), 2.5)]
