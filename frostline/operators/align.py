@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from frostline.operators import ordered as o
 from frostline.operators.first import first_rows
+from frostline.session import Stage, materialise
 
 
 def stack(*frames: DataFrame) -> DataFrame:
@@ -89,7 +90,7 @@ def anomaly(df: DataFrame, keys: Sequence[str], group: Column, value: str, out:
 
 def nearest_join(targets: DataFrame, data: DataFrame, keys: Sequence[str], time: str, value: str,
                  max_dist: float | None = None, unit: str = o.DAY, block: str | None = None,
-                 out: str = "nearest") -> DataFrame:
+                 out: str = "nearest", stage: Stage = materialise) -> DataFrame:
     """For every target label the value at the nearest label of the same keys, looking both ways.
 
     Ties take the earlier label. Targets and data are stacked and each target reads its
@@ -101,8 +102,10 @@ def nearest_join(targets: DataFrame, data: DataFrame, keys: Sequence[str], time:
     stacked = known.unionByName(asked).groupBy(*keys, time).agg(
         F.min(value).alias(value), F.max("_target").alias("_target")
     )
-    framed, axis = o.with_axis(stacked, keys, time, block)
-    framed = o.attach_carry(framed, axis, value)
+    if block:
+        stacked = stage(stacked, "stacked-labels")  # counted, summarised and read again below
+    framed, axis = o.with_axis(stacked, keys, time, block, stage=stage)
+    framed = o.attach_carry(framed, axis, value, stage)
     p0, v0, p1, v1 = o.bracket(F.col(value), axis)
     framed = framed.select(*keys, time, "_target", "_pos", p0.alias("p0"), v0.alias("v0"), p1.alias("p1"),
                            v1.alias("v1")).where("_target")

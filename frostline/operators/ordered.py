@@ -239,6 +239,7 @@ def run_length(flag: Column, axis: Axis, out: str = "_run") -> tuple[Column, Col
 
 
 # --- whole-frame forms -----------------------------------------------------------------
+# With ``block`` the input is read three times (counts, carry, result): pass a stored table.
 
 
 def _apply(df: DataFrame, keys: Sequence[str], time: str, value: str, block: str | None, build) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _private: dict[str, str] = {}
 
@@ -34,6 +35,9 @@ def build_session(app_name: str = "frostline", master: str | None = None, **conf
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        # the stamps a stream remembers while they may still repeat belong on disk, not on the heap
+        builder = builder.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
