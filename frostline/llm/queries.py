@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import toxicity
+from frostline.llm import secrets, toxicity
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -33,3 +33,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = toxicity.fit(documents, table(spark, sf_dir, "labels"), Stages(spark))
     return toxicity.score_texts(documents, lexicon).select(
         "doc_id", (toxicity.fold_of(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "toxic_weight", "toxic_hits", "toxic_words")
+
+
+@query("op10_secrets")
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(documents, secrets.fit(documents)).drop("text")
+    base = F.filter("findings", lambda f: f["kind"] != "learned")
+    count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+                        count("learned").alias("n_learned"), F.sha2(secrets.digest(base), 256).alias("base_sha256"),
+                        secrets.digest(F.col("findings")).alias("spans"))
