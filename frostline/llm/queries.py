@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import secrets, toxicity
+from frostline.llm import packing, secrets, toxicity
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -44,3 +44,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
                         count("learned").alias("n_learned"), F.sha2(secrets.digest(base), 256).alias("base_sha256"),
                         secrets.digest(F.col("findings")).alias("spans"))
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json")
