@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import packing, secrets, toxicity
+from frostline.llm import html_template, packing, secrets, toxicity
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -49,3 +49,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json")
+
+
+@query("op8_html_template")
+def op8_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_template.main_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("bigint").alias("n_chars"))
