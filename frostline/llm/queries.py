@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import html_template, packing, secrets, sharding, toxicity
+from frostline.llm import cover_tree, html_template, packing, secrets, sharding, toxicity
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -62,3 +62,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.kd_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), 40, Stages(spark))
     return sharding.with_slots(placed).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                                               F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op6_cover_tree")
+def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"), Stages(spark))
