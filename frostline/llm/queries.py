@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import cover_tree, html_template, packing, secrets, sharding, toxicity
+from frostline.llm import cover_tree, dart_minhash, html_template, packing, secrets, sharding, toxicity
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -67,3 +67,9 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_cover_tree")
 def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"), Stages(spark))
+
+
+@query("op5_dart_minhash")
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dart_minhash.near_duplicates(documents, Stages(spark)).select("doc_id", "class_id", "class_rows", "keeper")
