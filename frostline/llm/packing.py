@@ -17,8 +17,10 @@ itself. A NULL id sorts first. An empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,37 +49,40 @@ _LATIN = _byte_letters()
 
 
 class WordIds:
-    """Ids of white-space pieces by the tokenizer's own parts; a piece met before is looked up."""
+    """Ids (32-bit, as bytes) of white-space pieces by the tokenizer's own parts; a part met before is looked up."""
 
-    def __init__(self, path: str, keep: int = 250_000):
+    def __init__(self, path: str, keep: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.normalise = self.tokenizer.model, self.tokenizer.normalizer.normalize_str
         self.cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self.keep = keep
 
-    def part(self, part: str) -> list[int]:
+    def part(self, part: str) -> bytes:
         ids = self.known.get(part)
         if ids is None:
             if len(self.known) >= self.keep:
                 self.known.clear()
-            ids = self.known[part] = [t.id for t in self.model.tokenize(part)]
+            ids = self.known[part] = array("i", [t.id for t in self.model.tokenize(part)]).tobytes()
         return ids
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes:
         core = word.rstrip(".,!?;:")
         if core.isalpha() and (core.isascii() or max(core) < "\u0100"):  # one run of letters, then one of signs
             ids = self.part(core.lower().translate(_LATIN))
             return ids if len(core) == len(word) else ids + self.part(word[len(core):])
         if any(s in word for s in self.special):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        out: list[int] = []
-        for part, _ in self.cut(self.normalise(word)):
-            out += self.part(part)
-        return out
+            return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join([self.part(part) for part, _ in self.cut(self.normalise(word))])
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One per Python worker: what a task has looked up serves the next."""
+    return WordIds(path)
 
 
 def encode(words: WordIds, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,9 +94,9 @@ def encode(words: WordIds, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = lists.flatten().dictionary_encode()
     distinct = coded.dictionary.to_pylist()
-    ids = [words.word(w) if w else [] for w in distinct]
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for w in ids for i in w), np.int32, int(sizes.sum()))
+    ids = [words.word(w) if w else b"" for w in distinct]
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), np.int32)
     starts = np.cumsum(sizes) - sizes
     stops = np.fromiter((w[-1:] in (".", "!", "?", "\n") for w in distinct), bool, len(distinct))
     codes = coded.indices.to_numpy(zero_copy_only=False)
@@ -177,7 +182,7 @@ def pack(documents: DataFrame, tokenizer: str, length: int = 4096, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from public_tokenizers import path
 
-        words, ids, parts, at = WordIds(path(tokenizer)), [], [], 0
+        words, ids, parts, at = word_ids(path(tokenizer)), [], [], 0
         for batch in slices(batches, "text", 12_000_000):
             stream, tokens, sentence = encode(words, batch.column("text"), end_id)
             parts.append((stream, tokens, sentence + at))
