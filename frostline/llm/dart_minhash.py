@@ -31,12 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frostline.llm.common import Stages, components, mix, row_key, slices, stack, word_codes
+from frostline.llm.buckets import connect
+from frostline.llm.common import Stages, components, mix, row_key, slices, word_codes
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5  # two texts at the threshold share a band with probability 0.9996
-ROUNDS = 2
-BLOCK = 1000
 _SIGNS = re.compile(r"[\W_]+")
 _STEP, _CELL, _PLACE = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -155,7 +154,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, owner, counts = word_codes(batch.column("text"), normal_word)
         unit, of = units(*weighted(*shingles(words, owner, counts)))
         offsets = np.r_[0, np.cumsum(np.bincount(of, minlength=len(counts)))].astype(np.int32)
-        yield pa.RecordBatch.from_arrays([batch.column("content"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(unit)))], ["content", "units"])
+        yield pa.RecordBatch.from_arrays([batch.column("content"), batch.column("bands"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(unit)))],
+                                         ["node", "bands", "units"])
 
 
 def near_duplicates(documents: DataFrame, stages: Stages, similarity: float = SIMILARITY) -> DataFrame:
@@ -167,14 +167,15 @@ def near_duplicates(documents: DataFrame, stages: Stages, similarity: float = SI
     nodes = (signed.filter("content is not null").groupBy("content")
              .agg(F.min_by(F.struct("row", "size", "bands"), "row").alias("s"), F.min("doc_id").alias("first")))
     nodes = stages.write(nodes.select("content", "first", "s.*"), "contents")
-    members = nodes.filter("size > 0").select("content", "size", "row", F.posexplode("bands").alias("band", "key")).select(
-        F.xxhash64("band", "key").alias("key"), "band", "content", "size", "row")
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    members = nodes.filter("size > 0").select("content", "size", F.posexplode("bands").alias("band", "key")).select(
+        F.xxhash64("band", "key").alias("key"), "band", "content", "size")
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = stages.write(members.join(shared, "key"), "candidates")
-    wanted = members.select("row", "content").distinct()
-    held = texts.select("row", "text").join(wanted, "row").select("content", "text").mapInArrow(_units, "content bigint, units array<bigint>")
+    wanted = nodes.select("row", "content", "bands").join(members.select("content").distinct(), "content")
+    held = texts.select("row", "text").join(wanted, "row").dropDuplicates(["row"]).select("content", "bands", "text")
+    held = held.mapInArrow(_units, "node bigint, bands array<bigint>, units array<bigint>")
     held = stages.write(held, "shingles")
-    links = _links(members.drop("row"), nodes.select("content", "bands"), held, similarity, stages)
+    links = _links(members.select("key", "band", F.col("content").alias("node"), "size"), held, similarity, stages)
     classes = components(links, stages)
     rooted = nodes.select("content", "first").join(classes.select(F.col("node").alias("content"), "root"), "content", "left").withColumn("root", F.coalesce("root", "content"))
     rows = signed.filter("content is not null").groupBy("content").agg(F.count("*").alias("n"))
@@ -193,62 +194,26 @@ def near_duplicates(documents: DataFrame, stages: Stages, similarity: float = SI
     return out.select(*[F.col(f"`{c}`") for c in names], "class_id", F.col("class_rows").cast("bigint"), F.col("_kept").alias("keeper"))
 
 
-def _links(members: DataFrame, bands: DataFrame, held: DataFrame, similarity: float, stages: Stages) -> DataFrame:
-    """Verified links that connect every class: members of a bucket against one of them, then across what is left apart."""
-    found: list[DataFrame] = []
-    # sizes alone exclude pairs whose common part cannot be large enough
-    fits = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y)
-    members = members.join(members.groupBy("content").agg(F.sum("n").alias("degree")), "content").drop("n")
-    for seed in range(ROUNDS):
-        # first the member with most company, which of a text and its variants is mostly the text; then any
-        order = F.struct("degree", "content") if seed == 0 else F.struct(F.xxhash64("content", F.lit(seed)))
-        lead = members.groupBy("key").agg(F.max_by(F.struct("content", "size"), order).alias("lead"))
-        pairs = members.join(lead, "key").filter((F.col("content") != F.col("lead.content")) & fits(F.col("size"), F.col("lead.size")))
-        pairs = stages.write(pairs.select(F.least("content", "lead.content").alias("a"), F.greatest("content", "lead.content").alias("b")).distinct(), "pairs")
-        left = held.select(F.col("content").alias("a"), F.col("units").alias("ua"))
-        right = held.select(F.col("content").alias("b"), F.col("units").alias("ub"))
-        both = pairs.join(left, "a").join(right, "b")
-        common = F.size(F.array_intersect("ua", "ub"))
-        near = both.select("a", "b", (common / (F.size("ua") + F.size("ub") - common)).alias("j")).filter(F.col("j") >= similarity)
-        found.append(stages.write(near.select("a", "b"), "near"))
-        stages.drop(pairs)
-        classes = components(stack(found), stages)
-        named = members.drop("class").join(classes.select(F.col("node").alias("content"), F.col("root").alias("class")), "content", "left").withColumn("class", F.coalesce("class", "content"))
-        apart = named.groupBy("key").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.count("*").alias("n")).filter("c0 <> c1 and n > 2").select("key", "n")
-        members = stages.write(named.join(apart.select("key"), "key"), "apart")
-        if members.isEmpty():
-            return stack(found)
-    found.append(stages.write(_across(members, bands, held, similarity), "near"))
-    return stack(found)
-
-
-def _across(members: DataFrame, bands: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """Links between members of a bucket that are in different classes, compared inside tasks.
-
-    A bucket is cut into blocks of about BLOCK members, a task holds two of them. A pair is
-    compared in the first band it shares, and not once its classes are joined; only joining links leave.
-    """
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("content", F.lit(9)), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "band", "content", "class", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    whole = dealt.join(bands, "content").join(held, "content")
+def _links(members: DataFrame, held: DataFrame, similarity: float, stages: Stages) -> DataFrame:
+    """Verified links that connect every class."""
+    def near(a: F.Column, b: F.Column) -> F.Column:
+        common = F.size(F.array_intersect(a["units"], b["units"]))
+        return common / (F.size(a["units"]) + F.size(b["units"]) - common) >= similarity
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         band, crossing = int(group["band"].iloc[0]), bool((group["low"] != group["high"]).iloc[0])
-        content, own = group["content"].to_numpy(), group["own"].to_numpy()
-        keys = np.stack(list(group["bands"]))[:, :band]
+        node, own = group["node"].to_numpy(), group["own"].to_numpy()
+        earlier = np.stack(list(group["bands"]))[:, :band]
         classes = np.unique(group["class"].to_numpy(), return_inverse=True)[1]
         sets = [np.sort(u) for u in group["units"]]
         lengths = np.array([len(u) for u in sets])
         out = []
-        for i in range(len(content) - 1):
-            rest = np.arange(i + 1, len(content))
+        for i in range(len(node) - 1):
+            rest = np.arange(i + 1, len(node))
             ok = (classes[rest] != classes[i]) & (np.minimum(lengths[rest], lengths[i]) >= similarity * np.maximum(lengths[rest], lengths[i]))
-            if crossing:
-                ok &= own[rest] != own[i]
-            rest = rest[ok]
-            rest = rest[~(keys[rest] == keys[i]).any(axis=1)] if band else rest
+            rest = rest[ok & (own[rest] != own[i])] if crossing else rest[ok]
+            # a pair is compared in the first band that it shares
+            rest = rest[~(earlier[rest] == earlier[i]).any(axis=1)] if band else rest
             for at in range(0, len(rest), 256):
                 some = rest[at:at + 256]
                 flat = np.concatenate([sets[j] for j in some])
@@ -256,8 +221,8 @@ def _across(members: DataFrame, bands: DataFrame, held: DataFrame, similarity: f
                 common = np.add.reduceat((sets[i][place] == flat).astype(np.int64), np.cumsum(lengths[some]) - lengths[some])
                 for j in some[common / (lengths[i] + lengths[some] - common) >= similarity]:
                     if classes[j] != classes[i]:
-                        out.append((content[i], content[j]))
+                        out.append((node[i], node[j]))
                         classes[classes == classes[j]] = classes[i]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return whole.groupBy("key", "low", "high").applyInPandas(compare, "a bigint, b bigint")
+    return connect(members, held, near, compare, similarity, stages)
