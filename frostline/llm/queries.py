@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import cover_tree, dart_minhash, html_template, packing, secrets, sharding, toxicity
+from frostline.llm import cover_tree, dart_minhash, fuzzy_lines, html_template, packing, secrets, sharding, toxicity
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -73,3 +73,9 @@ def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dart_minhash.near_duplicates(documents, Stages(spark)).select("doc_id", "class_id", "class_rows", "keeper")
+
+
+@query("op7_fuzzy_lines")
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fuzzy_lines.dedup_lines(documents, Stages(spark)).select("doc_id", "n_lines", "n_removed", "n_left", "text")
