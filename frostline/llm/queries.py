@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import cover_tree, dart_minhash, decontaminate, fuzzy_lines, html_template, packing, secrets, sharding, toxicity
+from frostline.llm import cover_tree, dart_minhash, decontaminate, fuzzy_lines, html_template, packing, run_index, secrets, sharding, toxicity
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -84,3 +84,9 @@ def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_decontaminate")
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_run_index")
+def op9_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return run_index.remove_repeats(documents, Stages(spark)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
