@@ -21,6 +21,7 @@ to each other. Repeated rows are copies. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,9 @@ from frostline.llm.common import Stages, components
 
 CELL_ROWS = 8192
 BATCH = 512
+SMALL = 64  # points of a node that is not opened any more
+LEAF = 1 << 20  # pairs of points that are compared at once instead of opening their nodes
+ROUGH = 1e-3  # single precision drops no distance below a bound by less than this
 SLACK = 1e-7  # bounds leave room for rounding; pairs themselves are decided by their cosine
 
 
@@ -38,7 +42,8 @@ class CoverTree:
     """Nested levels over unit rows ``x``: nodes by level, with children, covering radius and members."""
 
     def __init__(self, x: np.ndarray, first_radius: float = 1.0, levels: int = 6):
-        self.x = x
+        # single precision chooses centres and drops pairs with room to spare; radii and links are double
+        self.x, self.single = x, x.astype(np.float32)
         n = len(x)
         self.centre, self.children, self.members, self.radius = [0], [[]], [np.arange(n)], [0.0]
         todo = [(0, first_radius, levels)]
@@ -59,19 +64,21 @@ class CoverTree:
 
     def _cover(self, members: np.ndarray, own: int, radius: float) -> list[tuple[int, np.ndarray]]:
         """Centres such that every member is within ``radius`` of its own; the node's own centre is the first."""
-        rest = np.r_[own, members[members != own]]
+        rest, least = np.r_[own, members[members != own]], 1 - radius * radius / 2
         out = []
         while len(rest):
             batch = rest[:BATCH]
-            near = distance(self.x[batch] @ self.x[batch].T) <= radius
+            near = self.single[batch] @ self.single[batch].T >= least
             chosen: list[int] = []
+            open_ = np.ones(len(batch), bool)
             for i in range(len(batch)):
-                if not near[i, chosen].any():
+                if open_[i]:
                     chosen.append(i)
+                    open_ &= ~near[i]
             centres = batch[chosen]
-            gap = distance(self.x[rest] @ self.x[centres].T)
-            nearest = gap.argmin(axis=1)
-            covered = gap[np.arange(len(rest)), nearest] <= radius
+            dots = self.single[rest] @ self.single[centres].T
+            nearest = dots.argmax(axis=1)
+            covered = dots[np.arange(len(rest)), nearest] >= least
             nearest[: len(batch)][chosen], covered[: len(batch)][chosen] = np.arange(len(chosen)), True
             order = np.argsort(nearest[covered], kind="stable")
             parts = np.split(rest[covered][order], np.cumsum(np.bincount(nearest[covered], minlength=len(chosen)))[:-1])
@@ -134,39 +141,70 @@ def traverse(left: CoverTree, right: CoverTree | None, cosine: float, links: Lin
             links.all_within(ma) if same else links.all_between(ma, mb + shift)
             continue
         ca, cb = left.children[a], right.children[b]
-        if not ca and not cb:
-            _leaves(left.x, right.x, ma, mb, same, cosine, links, shift)
+        if (not ca and not cb) or len(ma) * len(mb) <= LEAF:
+            _leaves(left, right, ma, mb, same, cosine, links, shift)
             continue
         # the wider node is opened; children of both at once where both are wide
         ka = ca if ca and (same or not cb or left.radius[a] >= right.radius[b] / 2) else [a]
         kb = ka if same else cb if cb and (ka == [a] or right.radius[b] >= left.radius[a] / 2) else [b]
+        ka = sorted(ka, key=lambda k: left.radius[k])
+        kb = ka if same else sorted(kb, key=lambda k: right.radius[k])
         ra, rb = np.array([left.radius[k] for k in ka]), np.array([right.radius[k] for k in kb])
         xa, xb = left.x[[left.centre[k] for k in ka]], right.x[[right.centre[k] for k in kb]]
-        for at in range(0, len(ka), BATCH):
-            dots = xa[at:at + BATCH] @ xb.T
-            near = distance(dots) <= ra[at:at + BATCH, None] + rb[None, :] + reach + SLACK
+        sa, sb = left.single[[left.centre[k] for k in ka]], right.single[[right.centre[k] for k in kb]]
+        size_a, size_b = np.array([len(left.members[k]) for k in ka]), np.array([len(right.members[k]) for k in kb])
+        small_a, small_b = np.zeros(len(ka), bool), np.zeros(len(kb), bool)
+        # strips of nodes without and with extent, so that each has a narrow bound
+        for at, end, begin, stop in _strips(np.count_nonzero(ra == 0), len(ra), np.count_nonzero(rb == 0), len(rb), same):
+            dots = sa[at:end] @ sb[begin:stop].T
+            widest = float(ra[at:end].max() + rb[begin:stop].max()) + reach + ROUGH
+            i, j = np.nonzero(dots >= 1 - widest * widest / 2)
+            i, j = i + at, j + begin
             if same:
-                near &= np.arange(len(kb))[None, :] >= np.arange(at, at + len(dots))[:, None]
-            i, j = np.nonzero(near)
-            single = (ra[at + i] == 0) & (rb[j] == 0)
-            for p, q in zip((at + i[~single]).tolist(), j[~single].tolist()):
+                i, j = i[j >= i], j[j >= i]
+            value = np.einsum("ij,ij->i", xa[i], xb[j])
+            single = (ra[i] == 0) & (rb[j] == 0)
+            near = distance(value) <= ra[i] + rb[j] + reach + SLACK
+            open_ = near & ~single
+            small = open_ & (size_a[i] <= SMALL) & (size_b[j] <= SMALL)
+            for p, q in zip(i[open_ & ~small].tolist(), j[open_ & ~small].tolist()):
                 todo.append((ka[p], kb[q]))
+            small_a[i[small]], small_b[j[small]] = True, True
             # nodes without extent hold one point each: the pair is decided by its cosine
-            i, j, value = at + i[single], j[single], dots[i[single], j[single]]
-            found = value >= cosine
+            found = single & (value >= cosine)
             if same:
                 found &= i != j
             pa = np.array([left.centre[ka[p]] for p in i[found]], np.int64)
             pb = np.array([right.centre[kb[q]] for q in j[found]], np.int64)
             links.pairs(pa, pb + shift)
+        # small nodes near some other small one are compared point by point, all at once
+        if same:
+            small_a |= small_b
+        if small_a.any():
+            ma = np.concatenate([left.members[ka[p]] for p in np.flatnonzero(small_a)])
+            mb = ma if same else np.concatenate([right.members[kb[q]] for q in np.flatnonzero(small_b)])
+            _leaves(left, right, ma, mb, same, cosine, links, shift)
+
+
+def _strips(cut_a: int, n_a: int, cut_b: int, n_b: int, same: bool) -> Iterator[tuple[int, int, int, int]]:
+    """Ranges of both sides, none across a cut; of a node with itself those on and above the diagonal."""
+    edges = sorted({*range(0, n_a, BATCH), cut_a, n_a})
+    for at, end in zip(edges, edges[1:]):
+        begin = at if same else 0
+        for low, high in ((begin, cut_b), (max(begin, cut_b), n_b)):
+            if low < high:
+                yield at, end, low, high
 
 
-def _leaves(xa: np.ndarray, xb: np.ndarray, ma: np.ndarray, mb: np.ndarray, same: bool, cosine: float, links: Links, shift: int) -> None:
+def _leaves(left: CoverTree, right: CoverTree, ma: np.ndarray, mb: np.ndarray, same: bool, cosine: float, links: Links, shift: int) -> None:
     for at in range(0, len(ma), BATCH):
-        i, j = np.nonzero(xa[ma[at:at + BATCH]] @ xb[mb].T >= cosine)
+        begin = at if same else 0
+        i, j = np.nonzero(left.single[ma[at:at + BATCH]] @ right.single[mb[begin:]].T >= cosine - ROUGH)
+        i, j = i + at, j + begin
         if same:
-            i, j = i[j > i + at], j[j > i + at]
-        links.pairs(ma[at + i], mb[j] + shift)
+            i, j = i[j > i], j[j > i]
+        found = np.einsum("ij,ij->i", left.x[ma[i]], right.x[mb[j]]) >= cosine
+        links.pairs(ma[i[found]], mb[j[found]] + shift)
 
 
 def unit(rows: pd.Series) -> np.ndarray:
