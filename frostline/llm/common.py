@@ -50,6 +50,18 @@ def row_key(*columns: str) -> F.Column:
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in columns])
 
 
+def with_turn(rows: DataFrame, key: str, turn: str, stages: Stages) -> DataFrame:
+    """``turn``: 1, 2, ... among the rows of equal ``key``. Only keys that repeat are sorted; most rows are never moved."""
+    from pyspark.sql import Window as W
+
+    again = stages.write(rows.groupBy(key).agg(F.count("*").alias("_llm_again")).filter("_llm_again > 1"), "repeated-keys")
+    marked = rows.join(again, key, "left")
+    order = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+    single = marked.filter("_llm_again is null").withColumn(turn, F.lit(1))
+    several = marked.filter("_llm_again is not null").withColumn(turn, F.row_number().over(W.partitionBy(key).orderBy(order)))
+    return single.unionByName(several).drop("_llm_again")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with about ``limit`` bytes in ``column``; one long text is a part of its own."""
     for batch in batches:

@@ -14,7 +14,7 @@ classes are compared with each other.
 
 Defined results: words are runs of white-space-free text without signs, lower case. A text of one
 to four words is a single shingle; texts without words are in one class if equal; a NULL text is
-its own class. Equal rows share a class. Columns are kept; class_id is the smallest doc_id of
+its own class. Equal rows share a class, one of them is the keeper. Columns are kept; class_id is the smallest doc_id of
 the class (NULL if it has none).
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.llm.buckets import connect
-from frostline.llm.common import Stages, components, mix, row_key, slices, word_codes
+from frostline.llm.common import Stages, components, mix, row_key, slices, with_turn, word_codes
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5  # two texts at the threshold share a band with probability 0.9996
@@ -54,7 +54,7 @@ def shingles(words: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> tuple[
     value = np.zeros(len(words), np.uint64)
     for k in range(SHINGLE):
         shifted = np.zeros_like(words)
-        shifted[: len(words) - k] = words[k:]
+        shifted[: max(0, len(words) - k)] = words[k:]
         value = np.where(k < size, mix(value + _STEP) ^ shifted, value)
     return mix(value[first]), owner[first]
 
@@ -187,11 +187,12 @@ def near_duplicates(documents: DataFrame, stages: Stages, similarity: float = SI
     first_row = of_row.filter("content = best").groupBy("content").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("kept_row"))
     of_row = of_row.join(first_row, "content", "left").select(
         "row", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_rows", F.lit(1)).alias("class_rows"),
-        (F.col("content").isNull() | F.coalesce(F.col("row") == F.col("kept_row"), F.lit(False))).alias("_kept"))
+        (F.col("content").isNull() | F.coalesce(F.col("row") == F.col("kept_row"), F.lit(False))).alias("_llm_kept"))
     of_row = stages.write(of_row, "row-classes")
     stages.drop(held, members, nodes, signed)
-    out = documents.withColumn("row", row_key("doc_id", "text")).join(of_row, "row")
-    return out.select(*[F.col(f"`{c}`") for c in names], "class_id", F.col("class_rows").cast("bigint"), F.col("_kept").alias("keeper"))
+    out = with_turn(documents.withColumn("_llm_row", row_key("doc_id", "text")), "_llm_row", "_llm_turn", stages).join(of_row.withColumnRenamed("row", "_llm_row"), "_llm_row")
+    kept = F.col("_llm_kept") & ((F.col("_llm_turn") == 1) | F.col("text").isNull())
+    return out.select(*[F.col(f"`{c}`") for c in names], "class_id", F.col("class_rows").cast("bigint"), kept.alias("keeper"))
 
 
 def _links(members: DataFrame, held: DataFrame, similarity: float, stages: Stages) -> DataFrame:

@@ -310,15 +310,15 @@ def remove_repeats(documents: DataFrame, stages: Stages, **limits: int) -> DataF
     ours = ("n_bytes", "n_removed", "n_spans", "kept", "kept_sha256")
     names = [c for c in documents.columns if c.lower() not in ours]
     at = next(n for n in names if n.lower() == "text")
-    documents = documents.select(*[F.col(f"`{c}`") for c in names]).withColumn("_row", row_key("doc_id", "text"))
-    spans = repeated_spans(documents.select(F.col("_row").alias("row"), "text"), stages, **limits)
-    by_row = spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("_spans")).withColumnRenamed("row", "_row")
-    joined = documents.join(by_row, "_row", "left").drop("_row")
+    documents = documents.select(*[F.col(f"`{c}`") for c in names]).withColumn("_llm_row", row_key("doc_id", "text"))
+    spans = repeated_spans(documents.select(F.col("_llm_row").alias("row"), "text"), stages, **limits)
+    by_row = spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("_llm_spans")).withColumnRenamed("row", "_llm_row")
+    joined = documents.join(by_row, "_llm_row", "left").drop("_llm_row")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at):
             out = []
-            for data, marked in zip(_utf8(batch.column(at)), batch.column("_spans").to_pylist()):
+            for data, marked in zip(_utf8(batch.column(at)), batch.column("_llm_spans").to_pylist()):
                 runs: list[list[int]] = []
                 for begin, end in sorted((s["begin"], s["end"]) for s in marked or ()):
                     if runs and begin <= runs[-1][1]:
