@@ -42,8 +42,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("findings", lambda f: f["kind"] != "learned")
     count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint")
     return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
-                        count("learned").alias("n_learned"), F.sha2(secrets.digest(base), 256).alias("base_sha256"),
-                        secrets.digest(F.col("findings")).alias("spans"))
+                        F.sha2(secrets.digest(base), 256).alias("base_sha256"),
+                        secrets.digest(F.col("findings")).alias("spans"), count("learned").alias("n_learned"))
 
 
 @query("op4_packing")
@@ -53,7 +53,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_html_template")
 def op8_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = html_template.main_text(table(spark, sf_dir, "pages"))
+    pages = html_template.main_text(table(spark, sf_dir, "pages"), Stages(spark))
     return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("bigint").alias("n_chars"))
 
 
