@@ -15,8 +15,10 @@ Which bytes go: every byte covered by a string of LENGTH bytes that starts at an
    of all positions. Windows with a match of LENGTH bytes or more are repeats.
 4. Spans are gathered by row and cut out of the text.
 
-An anchor with more than HOT_SEGMENTS different segments would not fit a task; its windows are
-counted by hash instead, which aggregates in any number of tasks.
+An anchor with more than HOT_SEGMENTS different segments would not fit a task. Its segments are cut
+into fewer windows each and filed anew under the bytes that all windows of such a part have in
+common: first 369 of the 400, then 397, then the whole window. Parts met once are done, so what is
+left under one key shrinks to true repeats.
 
 Defined results: texts are UTF-8 bytes, NULL is empty; matches never cross texts; texts shorter than
 LENGTH keep everything. Equal rows are repeats of each other. Other columns are kept.
@@ -30,6 +32,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +41,10 @@ from pyspark.sql import types as T
 from frostline.llm.common import Stages, mix, row_key, slices, stack
 
 LENGTH, ANCHOR = 400, 200
-CHUNK = 2 << 20         # bytes that one step of a task hashes
+CHUNK = 1 << 20         # bytes that one step of a task hashes
 BUCKET_BYTES = 1 << 20  # text of one index
 HOT_SEGMENTS = 2000
+WIDTHS = (32, 4, 1)       # windows of a part, where segments of an anchor are too many
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -263,46 +268,73 @@ def _index(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _segment_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("row", pa.int64()), ("first", pa.int64()), ("windows", pa.int32()), ("bytes", pa.binary())])
     for batch in slices(batches, "text", 2_000_000):
-        columns: list[list] = [[] for _ in schema]
-        for row, text, wanted in zip(batch.column("row").to_pylist(), _utf8(batch.column("text")), batch.column("wanted").to_pylist()):
-            for w in wanted:
-                for c, v in zip(columns, (w["anchor"], w["segment"], row, w["first"], w["windows"], text[w["first"]:w["first"] + w["windows"] - 1 + LENGTH])):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
-def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row, first, windows, data in zip(*(batch.column(c).to_pylist() for c in ("row", "first", "windows", "bytes"))):
-            value = Prefix(np.frombuffer(data, np.uint8)).grams(LENGTH)[:windows].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(np.full(windows, row)), pa.array(np.arange(first, first + windows))], ["window", "row", "begin"])
+        texts, lists = _utf8(batch.column("text")), batch.column("wanted")
+        owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        wanted = lists.flatten()
+        field = {n: wanted.field(n) for n in ("anchor", "segment", "first", "windows", "lead")}
+        spans = zip(owner.tolist(), field["first"].to_pylist(), field["windows"].to_pylist())
+        data = pa.array([texts[n][first:first + windows - 1 + LENGTH] for n, first, windows in spans], pa.binary())
+        yield pa.RecordBatch.from_arrays([field["anchor"], field["segment"], batch.column("row").take(pa.array(owner)), field["first"], field["windows"],
+                                          field["lead"], data], ["anchor", "segment", "row", "first", "windows", "lead", "bytes"])
+
+
+def _parts_of(width: int):
+    """Segments as parts of at most ``width`` windows, under a hash of what all windows of a part share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "bytes", 500_000):
+            out: list[tuple] = []
+            for anchor, row, first, windows, lead, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "row", "first", "windows", "lead", "bytes"))):
+                at = 0
+                while at < windows:
+                    # windows whose distance to the anchor falls in one class of ``width`` distances
+                    kind = (lead - at) // width
+                    end = min(windows, lead - kind * width + 1)
+                    core = data[lead - kind * width:lead - (kind + 1) * width + 1 + LENGTH]
+                    part = data[at:end - 1 + LENGTH]
+                    key = xxhash.xxh3_64_intdigest(core, seed=(anchor * 1024 + kind) & 0xFFFFFFFFFFFFFFFF)
+                    out.append((key, xxhash.xxh3_64_intdigest(part, seed=lead - at), row, first + at, end - at, lead - at, part))
+                    at = end
+            anchor, segment, *rest = zip(*out)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.array(c, np.uint64).view(np.int64)) for c in (anchor, segment)),
+                                              *(pa.array(c, k) for c, k in zip(rest, kinds))], ["anchor", "segment", "row", "first", "windows", "lead", "bytes"])
+    return run
+
+
+def _meet(rows: DataFrame, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """Spans of segments that are equal to another as a whole, and one row of each kind where an anchor has several."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    # a crowded anchor streams through its task
+    met = rows.repartition("anchor").sortWithinPartitions("anchor", "segment").mapInArrow(_met, columns + ", equal boolean, leads boolean")
+    met = stages.write(met, "met")
+    whole = met.filter("equal").select("row", F.col("first").alias("begin"), (F.col("first") + F.col("windows") - 1 + LENGTH).alias("end"))
+    kinds = stages.write(met.filter("leads").groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "kinds")
+    return whole, met.filter("leads").join(kinds, "anchor").drop("equal", "leads")
 
 
 def repeated_spans(texts: DataFrame, stages: Stages, hot_segments: int = HOT_SEGMENTS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(row, begin, end) byte spans that go, of texts (row, text); spans may touch and overlap."""
     found = texts.filter("text is not null").mapInArrow(_anchor_rows, ROW)
-    # equal anchors meet; a crowded one streams through its task
-    met = found.repartition("anchor").sortWithinPartitions("anchor", "segment").mapInArrow(_met, ROW + ", equal boolean, leads boolean")
-    met = stages.write(met, "met")
-    whole = met.filter("equal").select("row", F.col("first").alias("begin"), (F.col("first") + F.col("windows") - 1 + LENGTH).alias("end"))
-    kinds = met.filter("leads").groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    kinds = stages.write(kinds, "kinds")
-    differ = met.filter("leads").join(kinds.select("anchor"), "anchor")
-    wanted = differ.groupBy("row").agg(F.collect_list(F.struct("anchor", "segment", "first", "windows")).alias("wanted"))
-    fetched = texts.join(wanted, "row").dropDuplicates(["row"]).select("row", "text", "wanted").mapInArrow(
-        _segment_bytes, "anchor bigint, segment bigint, row bigint, first bigint, windows int, bytes binary")
+    whole, differ = _meet(found, stages)
+    wanted = differ.groupBy("row").agg(F.collect_list(F.struct("anchor", "segment", "first", "windows", "lead")).alias("wanted"))
+    fetched = texts.join(wanted, "row").dropDuplicates(["row"]).select("row", "text", "wanted").mapInArrow(_segment_bytes, ROW + ", bytes binary")
     fetched = stages.write(fetched, "segments")
-    hot = kinds.filter(F.col("kinds") > hot_segments).select("anchor", F.lit(True).alias("hot"))
-    marked = fetched.join(hot, "anchor", "left")
-    size = fetched.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    kinds = fetched.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    spans, calm, rest = [whole], [], fetched.join(stages.write(kinds.filter(F.col("kinds") > hot_segments), "crowded"), "anchor", "left")
+    for width in WIDTHS:
+        calm.append(rest.filter(F.coalesce(F.col("kinds"), F.lit(0)) <= hot_segments).drop("kinds"))
+        crowded = rest.filter(F.col("kinds") > hot_segments).drop("kinds")
+        if crowded.isEmpty():
+            break
+        whole, differ = _meet(crowded.mapInArrow(_parts_of(width), ROW + ", bytes binary"), stages)
+        spans.append(whole)
+        rest = differ.select(*calm[0].columns, "kinds")
+    indexed = stack(calm)
+    size = indexed.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-size // bucket_bytes))))
-    indexed = marked.filter("hot is null").withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_index, "row bigint, begin bigint, end bigint")
-    windows = marked.filter("hot").mapInArrow(_window_hashes, "window bigint, row bigint, begin bigint")
-    again = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    counted = windows.join(again, "window").select("row", "begin", (F.col("begin") + LENGTH).alias("end"))
-    return stack([whole, stages.write(indexed, "indexed"), counted])
+    spans.append(stages.write(indexed.withColumn("bucket", bucket).groupBy("bucket").applyInPandas(_index, "row bigint, begin bigint, end bigint"), "indexed"))
+    return stack(spans)
 
 
 def remove_repeats(documents: DataFrame, stages: Stages, **limits: int) -> DataFrame:
@@ -312,22 +344,23 @@ def remove_repeats(documents: DataFrame, stages: Stages, **limits: int) -> DataF
     at = next(n for n in names if n.lower() == "text")
     documents = documents.select(*[F.col(f"`{c}`") for c in names]).withColumn("_llm_row", row_key("doc_id", "text"))
     spans = repeated_spans(documents.select(F.col("_llm_row").alias("row"), "text"), stages, **limits)
-    by_row = spans.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("_llm_spans")).withColumnRenamed("row", "_llm_row")
+    # begin and length in one number; texts hold less than 2^31 bytes
+    packed = F.shiftleft("begin", 31) + F.col("end") - F.col("begin")
+    by_row = spans.groupBy("row").agg(F.collect_list(packed).alias("_llm_spans")).withColumnRenamed("row", "_llm_row")
     joined = documents.join(by_row, "_llm_row", "left").drop("_llm_row")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at):
             out = []
-            for data, marked in zip(_utf8(batch.column(at)), batch.column("_llm_spans").to_pylist()):
-                runs: list[list[int]] = []
-                for begin, end in sorted((s["begin"], s["end"]) for s in marked or ()):
-                    if runs and begin <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], end)
-                    else:
-                        runs.append([begin, end])
+            for data, marked in zip(_utf8(batch.column(at)), batch.column("_llm_spans")):
+                spans = np.sort(marked.values.to_numpy()) if marked.is_valid else np.zeros(0, np.int64)
+                begin = spans >> 31
+                end = np.maximum.accumulate(begin + (spans & (1 << 31) - 1))
+                new = np.flatnonzero(np.r_[True, begin[1:] > end[:-1]]) if len(spans) else np.zeros(0, np.int64)
+                runs = zip(begin[new].tolist(), end[np.r_[new[1:], len(spans)] - 1].tolist()) if len(spans) else ()
                 edges = [0, *(e for r in runs for e in r), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out.append((len(data), len(data) - len(kept), len(runs), kept, hashlib.sha256(kept).hexdigest()))
+                out.append((len(data), len(data) - len(kept), len(new), kept, hashlib.sha256(kept).hexdigest()))
             columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*names, *ours])
 
