@@ -19,10 +19,11 @@ def fill_calendar(daily: DataFrame, keys: Sequence[str], day: str = "d", value:
     """Emit the missing days between the first and last day of every series.
 
     Each stored day is stretched up to the day before its successor, so no grid is built
-    and joined back; the input must hold one row per (keys, day).
+    and joined back; the input must hold one row per (keys, day). Where it does not, every
+    row of the day stays and none is made up.
     """
     order = Window.partitionBy(*keys).orderBy(day)
-    until = F.coalesce(F.date_sub(F.lead(day).over(order), 1), F.col(day))
+    until = F.greatest(F.date_sub(F.lead(day).over(order), 1), F.col(day))
     stretched = daily.select(*keys, F.col(day).alias("_own"), F.col(value).alias("_value"), until.alias("_until"))
     days = stretched.select(*keys, "_own", "_value", F.explode(F.sequence("_own", "_until")).alias(day))
     filled = F.when(F.col(day) == F.col("_own"), F.col("_value"))

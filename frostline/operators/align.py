@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from frostline.functions.joins import join_null_safe
 from frostline.operators import ordered as o
 from frostline.operators.first import first_rows
 from frostline.session import Stage, materialise
@@ -41,7 +42,7 @@ def insert_only_merge(stored: DataFrame, new: DataFrame, key: Sequence[str]) ->
 
 def rows_to_insert(stored: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """Only the new records whose label is not stored: what an append has to write."""
-    return new.join(stored.select(*key), list(key), "left_anti")
+    return join_null_safe(new, stored.select(*key), list(key), "left_anti")
 
 
 def prefer_source(sources: Sequence[tuple[str, DataFrame]], on: Sequence[str], value: str = "value") -> DataFrame:
@@ -84,7 +85,7 @@ def anomaly(df: DataFrame, keys: Sequence[str], group: Column, value: str, out:
     """Value minus the mean of its group, as an aggregate joined back."""
     framed = df.withColumn("_g", group)
     means = framed.groupBy(*keys, "_g").agg(F.avg(value).alias("_mean"))
-    joined = framed.join(means, [*keys, "_g"], "left")
+    joined = join_null_safe(framed, means, [*keys, "_g"], "left")
     return joined.withColumn(out, F.col(value) - F.col("_mean")).drop("_g", "_mean")
 
 

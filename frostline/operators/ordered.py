@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from frostline.functions.joins import join_null_safe
 from frostline.session import Stage, materialise
 
 DAY = "day"
@@ -35,7 +36,7 @@ ROWS_PER_BLOCK = 1_000_000
 
 _CARRY = "_carry"
 _PARTS = 1 << 31  # room for the parts of a unit in a block number
-_CELLS = 4096     # fine cells of a crowded unit
+_CELLS = {"day": 86_400}  # fine cells of a unit: none longer than a second
 
 
 def position(time: Column, dtype: str) -> Column:
@@ -90,25 +91,22 @@ def with_axis(df: DataFrame, keys: Sequence[str], time: str, block: str | None =
 
     A unit with more than ``rows_per_block`` rows of one key is cut where its rows are: they
     are counted in fine cells and the running count decides the cut. A block then holds at
-    most ``rows_per_block`` rows and one cell, and a cell of an hour is under a second, which
-    stamps unique to the microsecond cannot overfill. The usual case, no crowded unit, costs
-    one count.
+    most ``rows_per_block`` rows and one cell, and a cell is a second or less, which stamps
+    unique to the microsecond cannot overfill. The plan is the same at every size; only
+    cells behind a cut are stored, so the usual case stores none. Rows without a time are a
+    block of their own.
     """
     out = df.withColumn("_pos", time_position(df, time))
     if block is None:
         return out, Axis(tuple(keys))
-    axis, width, slot = Axis(tuple(keys), block="_block"), F.lit(MICROS[block]), [*keys, "_slot"]
-    slotted = out.withColumn("_slot", F.floor(F.col("_pos") / width).cast("long"))
-    counts = slotted.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
-    crowded = stage(counts.where(F.col("_n") > rows_per_block).select(*slot), "crowded-blocks")
-    if crowded.isEmpty():
-        return slotted.withColumn("_block", F.col("_slot") * _PARTS).drop("_slot"), axis
-    within = F.col("_pos") - F.col("_slot") * width
-    celled = slotted.withColumn("_cell", F.floor(within * _CELLS / width).cast("long"))
-    cells = celled.join(crowded, slot, "left_semi").groupBy(*slot, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    axis, width, cells = Axis(tuple(keys), block="_block"), F.lit(MICROS[block]), _CELLS.get(block, 4096)
+    slot = [*keys, "_slot"]
+    celled = out.withColumn("_slot", F.floor(F.col("_pos") / width).cast("long"))
+    celled = celled.withColumn("_cell", F.floor((F.col("_pos") - F.col("_slot") * width) * cells / width).cast("long"))
+    counts = celled.where(F.col("_pos").isNotNull()).groupBy(*slot, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*slot).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = cells.select(*slot, "_cell", F.floor(F.sum("_n").over(earlier) / rows_per_block).alias("_part"))
-    joined = celled.join(stage(cuts, "block-cuts"), [*slot, "_cell"], "left")
+    cuts = counts.select(*slot, "_cell", F.floor(F.sum("_n").over(earlier) / rows_per_block).alias("_part")).where(F.col("_part") > 0)
+    joined = join_null_safe(celled, stage(cuts, "block-cuts"), [*slot, "_cell"], "left")
     number = F.col("_slot") * _PARTS + F.coalesce(F.col("_part"), F.lit(0).cast("long"))
     return joined.withColumn("_block", number).drop("_slot", "_cell", "_part"), axis
 
@@ -117,7 +115,8 @@ def attach_carry(df: DataFrame, axis: Axis, value: str, stage: Stage = materiali
     """Give every row what its block needs to know about the blocks around it.
 
     The summary is a hash aggregate with map-side combine, one row per (keys, block); the
-    windows over it see blocks, not samples.
+    windows over it see blocks, not samples. The block of rows without a time neither gives
+    nor takes.
     """
     if axis.block is None:
         return df
@@ -133,7 +132,7 @@ def attach_carry(df: DataFrame, axis: Axis, value: str, stage: Stage = materiali
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     back = Window.partitionBy(*axis.keys).orderBy(F.col(axis.block).desc())
     after = back.rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
+    carry = summary.where(F.col(axis.block).isNotNull()).select(
         *axis.partition,
         F.struct(
             F.lag("p1").over(order).alias("prev_pos"),
@@ -146,7 +145,7 @@ def attach_carry(df: DataFrame, axis: Axis, value: str, stage: Stage = materiali
             F.sum("s").over(before).alias("sum_before"),
         ).alias(_CARRY),
     )
-    return df.join(stage(carry, "block-carry"), axis.partition, "inner")
+    return join_null_safe(df, stage(carry, "block-carry"), axis.partition, "left")
 
 
 def drop_axis(df: DataFrame) -> DataFrame:

@@ -15,13 +15,11 @@ from frostline.operators import seasons
 def climatology_arrays(series: DataFrame, keys: Sequence[str], day: str = "d", value: str = "t") -> DataFrame:
     """Arrays clim, lo and band on the July-to-June axis (365 entries), with the date axis."""
     rotated = seasons.rotate_climatology(agg.climatology(series, keys, day, value))
-    entry = F.struct("pos", "clim", "lo", "band")
-    days = F.map_from_entries(F.collect_list(F.struct("pos", entry)))
     positions = F.sequence(F.lit(0), F.lit(cal.SEASON_DAYS - 1))
-    folded = rotated.groupBy(*keys).agg(days.alias("_m"))
+    folded = rotated.groupBy(*keys).agg(F.collect_list(F.struct("pos", "clim", "lo", "band")).alias("_m"))
 
     def column(name: str):
-        return F.transform(positions, lambda p: F.try_element_at(F.col("_m"), p)[name]).alias(name)
+        return seasons.by_position(F.col("_m"), name).alias(name)
 
     dates = F.transform(positions, lambda p: cal.doy_to_monthday(p + cal.CLIMATOLOGY_FIRST_DOY))
     return folded.select(*keys, dates.alias("date"), column("clim"), column("lo"), column("band"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline.functions import values as val
+from frostline.functions.joins import join_null_safe
 from frostline.operators import ordered as o
 from frostline.operators.first import first_rows
 from frostline.session import Stage, materialise
@@ -143,7 +144,7 @@ def mask_own_day_deviation(df: DataFrame, keys: Sequence[str], time: str, value:
     means = framed.groupBy(*keys, "_day").agg(F.avg(value).alias("_day_mean"))
     gap = F.col(value) - F.col("_day_mean")
     ok = (F.abs(gap) if two_sided else gap) < limit
-    joined = framed.join(stage(means, "day-means"), [*keys, "_day"], "left")
+    joined = join_null_safe(framed, stage(means, "day-means"), [*keys, "_day"], "left")
     return joined.withColumn(out, val.keep_where(F.col(value), ok)).drop("_day", "_day_mean")
 
 

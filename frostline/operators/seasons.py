@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline.functions import calendar as cal
 from frostline.functions import values as val
+from frostline.functions.joins import join_null_safe
 from frostline.operators import ordered as o
 from frostline.operators.quality import DailyRules
 
@@ -45,7 +46,7 @@ def remove_mean_offset(current: DataFrame, offsets: DataFrame, keys: Sequence[st
                        offset: str = "t_winter_offset", out: str = "t_no_offset") -> DataFrame:
     """Running season: the mean of all known offsets is subtracted, negatives become 0."""
     mean = offsets.groupBy(*keys).agg(F.avg(offset).alias("_mean_offset"))
-    joined = current.join(mean, list(keys), "left")
+    joined = join_null_safe(current, mean, list(keys), "left")
     return joined.withColumn(out, val.clamp_min0(F.col(value) - F.col("_mean_offset"))).drop("_mean_offset")
 
 
@@ -77,14 +78,31 @@ def season_matrix(df: DataFrame, keys: Sequence[str], day: str = "d", value: str
 
 
 def season_arrays(sliced: DataFrame, keys: Sequence[str], value: str = "t", out: str = "days") -> DataFrame:
-    """One array of 365 values per season, missing positions NULL."""
-    days = F.map_from_entries(F.collect_list(F.struct("pos", value)))
-    positions = F.sequence(F.lit(0), F.lit(cal.SEASON_DAYS - 1))
-    folded = sliced.groupBy(*keys, "season").agg(days.alias("_days"))
-    array = F.transform(positions, lambda p: F.try_element_at(F.col("_days"), p))
+    """One array of 365 values per season, missing positions NULL; the input has a row per position at most."""
+    folded = sliced.groupBy(*keys, "season").agg(F.collect_list(F.struct("pos", value)).alias("_days"))
+    array = by_position(F.col("_days"), value)
     return folded.select(*keys, cal.season_label(F.col("season")).alias("season_label"), "season", array.alias(out))
 
 
+def by_position(entries: Column, field: str) -> Column:
+    """Array of 365 values from structs (pos, field): each entry is stretched up to the next one's position.
+
+    Linear in the positions: the sorted entries are bound once, as the only element of an array,
+    since an expression used inside a lambda is evaluated for every element.
+    """
+    def place(s: Column) -> Column:
+        missing = F.when(F.lit(False), F.get(s, F.lit(0))[field])
+
+        def stretch(x: Column, i: Column) -> Column:
+            until = F.coalesce(F.get(s, i + 1)["pos"], F.lit(cal.SEASON_DAYS))
+            return F.concat(F.array(x[field]), F.array_repeat(F.when(F.lit(False), x[field]), (until - x["pos"] - 1).cast("int")))
+
+        lead = F.array_repeat(missing, F.get(s, F.lit(0))["pos"].cast("int"))
+        return F.concat(lead, F.flatten(F.transform(s, stretch)))
+
+    return F.transform(F.array(F.sort_array(entries)), place)[0]
+
+
 def rotate_climatology(clim: DataFrame, doy: str = "doy") -> DataFrame:
     """Climatology on the July-to-June axis; day 366 is dropped."""
     return clim.withColumn("pos", cal.climatology_position(F.col(doy))).where(F.col("pos").isNotNull())
@@ -97,12 +115,12 @@ def fill_with_climatology(series: DataFrame, keys: Sequence[str], first: str, la
     The climatology has one row per (keys, day of year); the stretch is generated from it,
     so filling costs one aggregate of the data.
     """
-    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    # Calendar days of the stretch by day of year: a handful per climatology row.
-    # Day 366 is dropped there and not by a filter, so that both readings of the series stay
-    # the same plan and share its exchange.
+    begin, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+    # One day per year of the stretch and climatology row. Day 366 is dropped there and not by a
+    # filter, so that both readings of the series stay the same plan and share its exchange.
     clim = series.groupBy(*keys, F.dayofyear(day).alias("_doy")).agg(F.avg(value).alias(value))
-    matching = F.filter(days, lambda d: (F.dayofyear(d) == F.col("_doy")) & (F.col("_doy") <= cal.SEASON_DAYS))
+    own = F.transform(F.sequence(F.year(begin), F.year(end)), lambda y: F.date_add(F.make_date(y, F.lit(1), F.lit(1)), F.col("_doy") - 1))
+    matching = F.filter(own, lambda d: d.between(begin, end) & (F.col("_doy") <= cal.SEASON_DAYS))
     stretch = clim.select(*keys, F.explode(matching).alias(day), value)
     both = series.select(*keys, day, value, F.lit(0).alias("_rank")).unionByName(
         stretch.withColumn("_rank", F.lit(1))

@@ -134,9 +134,11 @@ def forecast_input(rules: DataFrame, analysis_daily: DataFrame, forecast_daily:
 
 
 def run_forecast(inputs: DataFrame, fitted: DataFrame, names: Sequence[str] = NAMES) -> DataFrame:
-    """Forecast day number and date of the mean and every member; the model is fitted once."""
-    rows = inputs.dropna(subset=list(names))
-    predicted = model.predict(rows, fitted, names)
+    """Forecast day number and date of the mean and every member; the model is fitted once.
+
+    A row that lacks a predictor keeps its place with a NULL forecast.
+    """
+    predicted = model.predict(inputs, fitted, names)
     season = cal.forecast_season(F.col("issued"))
     return predicted.withColumn("season", season).withColumn(
         "fud_date", cal.fudoy_to_date(F.col("prediction"), F.col("season"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.functions import calendar as cal
+from frostline.functions.joins import join_null_safe
 from frostline.functions import values as val
 from frostline.operators import aggregate as agg
 from frostline.operators import align, ensemble, quality, seasons
@@ -57,12 +58,20 @@ def monthly_predictors(analysis: DataFrame, cell_keys: Sequence[str] = ()) -> Da
     return folded.select(*keys, "season", F.when(summed, F.col("_sum")).otherwise(F.col("_mean")).alias("value"))
 
 
-def training_table(predictors: DataFrame, freeze_up: DataFrame, stage: Stage = materialise) -> DataFrame:
+def training_table(predictors: DataFrame, freeze_up: DataFrame, keys: Sequence[str] = (), stage: Stage = materialise) -> DataFrame:
     """Wide predictors per season with the freeze-up day number, over the shared seasons.
 
+    ``keys`` tell the freeze-up series apart; each gets the predictors of its own shared seasons.
+
     Both tables have one row per season but come from whole grids and series, so they are
     written before their bounds and rows are read.
     """
     wide = stage(ensemble.widen(predictors, ["season"], [name for name, _, _ in PREDICTORS]), "predictors")
-    observed = stage(freeze_up.select("season", "fudoy"), "freeze-up")
-    return align.common_period(wide, observed, "season")
+    observed = stage(freeze_up.select(*keys, "season", "fudoy"), "freeze-up")
+    if not keys:
+        return align.common_period(wide, observed, "season")
+    bounds = wide.agg(F.struct(F.min("season").alias("lo"), F.max("season").alias("hi"))).scalar()
+    lo, hi = F.greatest("_lo", bounds["lo"]), F.least("_hi", bounds["hi"]) + 1
+    spans = observed.groupBy(*keys).agg(F.min("season").alias("_lo"), F.max("season").alias("_hi"))
+    spans = spans.where(lo <= hi).select(*keys, F.explode(F.sequence(lo, hi)).alias("season"))
+    return join_null_safe(spans.join(wide, "season"), observed, [*keys, "season"], "left")

@@ -102,10 +102,11 @@ def with_targets(forecast: DataFrame) -> DataFrame:
 
 
 GRID = "grid_wide grid_daily"
+LEADS = 215
 TARGETED = {
-    "issued": issued_sql(61),
+    "issued": issued_sql(LEADS),
     "targeted": """SELECT * FROM (SELECT *, unnest([issue, CAST(issue + INTERVAL 1 MONTH AS DATE)]) AS target FROM issued) WHERE d <= last_day(target)""",
-    "seen": "SELECT CAST(date_trunc('month', d) AS DATE) AS target, d, t AS obs FROM daily WHERE k = '1-URGENT' AND day(d) <= 12",
+    "seen": "SELECT CAST(date_trunc('month', d) AS DATE) AS target, d, avg(t) AS obs FROM daily WHERE day(d) <= 12 GROUP BY d",
 }
 
 
@@ -130,20 +131,20 @@ def splice_sql(source: str, observed: str, keys: list[str], member: list[str]) -
     }
 
 
-def _issued_targets(spark, sf, variable):
-    return with_targets(issued_forecasts(i.grid_daily(spark, sf).where(F.col("variable") == variable), 61))
+def _issued_targets(spark, sf, *variables):
+    return with_targets(issued_forecasts(i.grid_daily(spark, sf).where(F.col("variable").isin(*variables)), LEADS))
 
 
 def _seen(spark, sf):
-    urgent = i.daily(spark, sf).where((F.col("k") == "1-URGENT") & (F.dayofmonth("d") <= 12))
-    return urgent.select(F.trunc("d", "month").cast("date").alias("target"), "d", F.col("t").alias("obs"))
+    days = i.daily(spark, sf).where(F.dayofmonth("d") <= 12).groupBy("d").agg(F.avg("t").alias("obs"))
+    return days.select(F.trunc("d", "month").cast("date").alias("target"), "d", "obs")
 
 
-@query("splice_mean", with_ctes(f"daily {GRID}", f"""SELECT {text('f.target')} AS target, {text('issue')} AS issue, number, {text('f.d')} AS d, {rnd('coalesce(obs, value)')} AS value
-       FROM targeted f LEFT JOIN seen ON seen.target = f.target AND seen.d = f.d WHERE variable = 't2m'""", **TARGETED))
+@query("splice_mean", with_ctes(f"daily {GRID}", f"""SELECT variable, {text('f.target')} AS target, {text('issue')} AS issue, number, {text('f.d')} AS d, {rnd('coalesce(obs, value)')} AS value
+       FROM targeted f LEFT JOIN seen ON seen.target = f.target AND seen.d = f.d WHERE variable IN ('t2m', 'tcc')""", **TARGETED))
 def splice_mean(spark, sf):
-    spliced = ensemble.splice_mean(_issued_targets(spark, sf, "t2m"), _seen(spark, sf), ["target"])
-    return spliced.select("target", "issue", "number", "d", "value")
+    spliced = ensemble.splice_mean(_issued_targets(spark, sf, "t2m", "tcc"), _seen(spark, sf), ["target"])
+    return spliced.select("variable", "target", "issue", "number", "d", "value")
 
 
 @query("splice_cumulative", with_ctes(f"daily {GRID}", f"SELECT {text('target')} AS target, {text('issue')} AS issue, number, {text('d')} AS d, {rnd('value', 5)} AS value FROM spliced",
@@ -211,18 +212,17 @@ def monthly_predictors(spark, sf):
     return ensemble.widen(yearly.monthly_predictors(gridded_analysis(spark, sf)), ["season"], fc.NAMES)
 
 
-FUD_SEASONS = """SELECT season, min(d) AS fud FROM (SELECT d, CASE WHEN month(d) <= 5 THEN year(d) - 1 WHEN month(d) = 12 OR (month(d) = 11 AND day(d) > 1) THEN year(d) END AS season
-    FROM daily WHERE k = '1-URGENT' AND t > 0 AND t <= 3) WHERE season BETWEEN 1995 AND 2000 GROUP BY 1"""
+FUD_SEASONS = """SELECT k, season, min(d) AS fud FROM (SELECT k, d, CASE WHEN month(d) <= 5 THEN year(d) - 1 WHEN month(d) = 12 OR (month(d) = 11 AND day(d) > 1) THEN year(d) END AS season
+    FROM daily WHERE t > 0 AND t <= 3) WHERE season BETWEEN 1995 AND 2000 GROUP BY 1, 2"""
 
 
-@query("build_predictors", with_ctes("daily", f"""SELECT season, {rnd('t2m', 5)} AS t2m, {rnd('sf', 5)} AS sf, {rnd('tcc', 5)} AS tcc,
+@query("build_predictors", with_ctes("daily", f"""SELECT k, season, {rnd('t2m', 5)} AS t2m, {rnd('sf', 5)} AS sf, {rnd('tcc', 5)} AS tcc,
        dayofyear(fud) + CASE WHEN dayofyear(fud) < 300 THEN dayofyear(make_date(season, 12, 31)) ELSE 0 END AS fudoy
-       FROM p LEFT JOIN f USING (season) WHERE season BETWEEN greatest(1995, (SELECT min(season) FROM p)) AND 2001""", **PREDICTORS_SQL, f=FUD_SEASONS), digits=5)
+       FROM p CROSS JOIN (SELECT DISTINCT k FROM daily) LEFT JOIN f USING (k, season) WHERE season BETWEEN greatest(1995, (SELECT min(season) FROM p)) AND 2001""", **PREDICTORS_SQL, f=FUD_SEASONS), digits=5)
 def build_predictors(spark, sf):
-    """Predictors with the freeze-up of one series; seasons without a crossing stay missing."""
-    urgent = i.daily(spark, sf).where(F.col("k") == "1-URGENT")
-    fuds = yearly.observed_freeze_up(urgent, ["k"], "t", yearly.DailyRules(threshold=3.0))
-    return yearly.training_table(yearly.monthly_predictors(gridded_analysis(spark, sf)), fuds)
+    """Predictors with the freeze-up of every series; seasons without a crossing stay missing."""
+    fuds = yearly.observed_freeze_up(i.daily(spark, sf), ["k"], "t", yearly.DailyRules(threshold=3.0))
+    return yearly.training_table(yearly.monthly_predictors(gridded_analysis(spark, sf)), fuds, ["k"])
 
 
 TRAINING = {
@@ -390,7 +390,7 @@ def forecast_input(spark, sf):
          WHEN dayofyear(make_date(season, 12, 31)) = 366 THEN make_date(season, 1, 1) + CAST(round_even(p, 0) AS INTEGER)
          ELSE make_date(season, 1, 1) + CAST(round_even(p - 1, 0) AS INTEGER) END''')} AS fud_date
        FROM (SELECT inputs.*, b + b0 * t2m + b1 * sf + b2 * tcc AS p, CASE WHEN month(issued) <= 4 THEN year(issued) - 1 ELSE year(issued) END AS season
-             FROM inputs, fitted WHERE t2m IS NOT NULL AND sf IS NOT NULL AND tcc IS NOT NULL)""",
+             FROM inputs, fitted)""",
        **RULES_SQL, **INPUT_SQL, **TRAINING, **fit_sql("training")), digits=4)
 def hindcast(spark, sf):
     forecasts = issued_forecasts(i.grid_daily(spark, sf), fc.FORECAST_LEADS)

@@ -115,16 +115,17 @@ def nearest_join_limited(spark, sf):
 
 
 PREFER = {
-    "p": """SELECT CAST(date_trunc('month', d) AS DATE) AS month, avg(t) AS value FROM daily WHERE k = '1-URGENT' GROUP BY 1
-            HAVING count(*) >= 24""",
+    "p": """SELECT CAST(date_trunc('month', d) AS DATE) AS month, avg(t) AS value FROM daily GROUP BY 1
+            HAVING count(DISTINCT d) >= 31""",
     "f": "SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, avg(l_quantity) AS value FROM lineitem GROUP BY 1",
 }
 
 
 def _sources(spark, sf):
     month = F.trunc("d", "month").alias("month")
-    urgent = i.daily(spark, sf).where(F.col("k") == "1-URGENT").groupBy(month)
-    analysis = urgent.agg(F.avg("t").alias("value"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= 24).drop("n")
+    # only months of 31 known days are analysed, so that the others fall back
+    months = i.daily(spark, sf).groupBy(month)
+    analysis = months.agg(F.avg("t").alias("value"), F.countDistinct("d").alias("n")).where(F.col("n") >= 31).drop("n")
     forecast = i.table(spark, sf, "lineitem").groupBy(F.trunc("l_shipdate", "month").alias("month")).agg(
         F.avg("l_quantity").alias("value"))
     return analysis, forecast
@@ -148,15 +149,16 @@ def require_labels(spark, sf):
 
 @query("latest_of_feeds", with_ctes("obs", f"""SELECT user_id, {text('issued')} AS issued, feed, {rnd('fud')} AS fud FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY issued DESC, rank DESC, event_id DESC) AS rn FROM (
-           SELECT user_id, event_id, CAST(ts AS DATE) AS issued, t AS fud, CASE k WHEN 'view' THEN 'weekly' ELSE 'monthly' END AS feed,
-             CASE k WHEN 'view' THEN 2 ELSE 1 END AS rank FROM obs
-           WHERE k IN ('view', 'click') AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0)) WHERE rn = 1"""))
+           SELECT user_id, event_id, CAST(ts AS DATE) AS issued, t AS fud, CASE WHEN k IN ('view', 'click') THEN 'weekly' ELSE 'monthly' END AS feed,
+             CASE WHEN k IN ('view', 'click') THEN 2 ELSE 1 END AS rank FROM obs
+           WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0)) WHERE rn = 1"""))
 def latest_of_feeds(spark, sf):
     log = i.obs(spark, sf).select(
         "user_id", "event_id", "k", F.to_date("ts").alias("issued"), F.col("t").alias("fud"),
         (F.get_json_object("props", "$.k").cast("int") % 2).alias("number"),
     )
-    feeds = [("weekly", log.where(F.col("k") == "view")), ("monthly", log.where(F.col("k") == "click"))]
+    weekly = F.col("k").isin("view", "click")
+    feeds = [("weekly", log.where(weekly)), ("monthly", log.where(~weekly))]
     return align.latest_of_feeds(feeds, ["user_id"], tie=["event_id"])
 
 

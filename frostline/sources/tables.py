@@ -48,7 +48,10 @@ def complete_days_only(df: DataFrame, time: str, as_of: str, after: str | None =
 
 
 def append_forecast(forecast: DataFrame, path: str) -> None:
-    """Append one issue's mean and members in one job; members without their mean fail it."""
+    """Write one issue's mean and members in one job; members without their mean fail it.
+
+    An issue has a folder of its own, so a retried job replaces what it wrote before.
+    """
     issue = Window.partitionBy("feed", "season", "issued")
     has_mean = F.max(F.when(F.col("number") == 0, 1).otherwise(0)).over(issue)
     refused = F.raise_error(F.lit("ensemble mean missing, members not written")).cast("int")
@@ -56,7 +59,8 @@ def append_forecast(forecast: DataFrame, path: str) -> None:
         "fud", F.when(F.col("_ok") == 1, F.col("fud")).otherwise(refused)
     )
     rows = checked.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields])
-    rows.hint("rebalance", "feed", "season").write.mode("append").partitionBy("feed", "season").parquet(path)
+    (rows.hint("rebalance", "feed", "season", "issued").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("feed", "season", "issued").parquet(path))
 
 
 def read_forecast_log(spark: SparkSession, path: str, feed: str | None = None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frostline.functions import values as val
+from frostline.functions.joins import join_null_safe
 from frostline.session import Stage, materialise
 
 SENSOR_FIELDS = 6
@@ -115,6 +116,7 @@ def read_variant_width(spark: SparkSession, path: str, bad: str = "Bad", station
     return spark.read.schema(lines).text(path).select(
         station_of(name, station_folders).alias("series_key"),
         file_number(name).alias("file_seq"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         F.col("_metadata.file_modification_time").alias("modified"),
@@ -126,24 +128,25 @@ def assign_synthetic_time(lines: DataFrame, start: Column | None = None, step_se
                           stage: Stage = materialise) -> DataFrame:
     """Regular time axis over the concatenated files of a series, one step per line.
 
-    Without ``start`` the axis begins at the hour of the first file's modification time.
+    Without ``start`` the axis begins at the hour of the first file's modification time. Files
+    come by their number, those without one last, and by their path where numbers agree.
     A line's rank is its offset in its file block plus the sizes of all blocks before it;
     only the block sizes (one row per block) are ordered, never the lines. The lines are
     written first, so that sizes and ranks come from one reading of the files.
     """
-    part = ["series_key", "file_seq", "block"]
+    part = ["series_key", "file_seq", "path", "block"]
     framed = stage(lines, "untimed-lines")
     sizes = framed.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"), F.min("row").alias("_row0"), F.min("modified").alias("_modified")
     )
-    order = Window.partitionBy("series_key").orderBy("file_seq", "block")
+    order = Window.partitionBy("series_key").orderBy(F.col("file_seq").asc_nulls_last(), "path", "block")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("series_key")
     begin = F.date_trunc("hour", F.min("_modified").over(whole)) if start is None else start
     offsets = sizes.select(
         *part, "_row0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), begin.alias("_start")
     )
-    joined = framed.join(stage(offsets, "block-offsets"), part)
+    joined = join_null_safe(framed, stage(offsets, "block-offsets"), part, "inner")
     rank = F.col("_before") + F.col("row") - F.col("_row0")
     ts = F.timestamp_micros(F.unix_micros(F.col("_start").cast("timestamp")) + rank * step_seconds * 1_000_000)
     return joined.select("series_key", ts.alias("ts"), "t", "file_seq")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from frostline import session
 from frostline.functions import calendar as cal
+from frostline.functions.joins import join_null_safe
 from frostline.operators import align
 from frostline.operators.quality import RawRules
 from frostline.plans import daily as daily_plan
@@ -100,7 +101,10 @@ def clean_daily_table(raw_path: str, path: str, keys: Sequence[str], time: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept = batch.select(*keys, time, value, F.to_date(time).alias("d"), F.monotonically_increasing_id().alias("line"))
+        # the first of equal stamps is that of the earlier file, then of the earlier line
+        sequence = F.col("file_seq") if "file_seq" in batch.columns else F.lit(0)
+        kept = batch.select(*keys, time, value, F.to_date(time).alias("d"), sequence.cast("long").alias("file_seq"),
+                            F.monotonically_increasing_id().alias("line"))
         kept.hint("rebalance", "d").write.mode("overwrite").partitionBy("d").parquet(f"{raw_path}/batch={batch_id}")
         raw = spark.read.schema(kept.schema.add("batch", T.LongType())).parquet(raw_path)
 
@@ -110,18 +114,19 @@ def clean_daily_table(raw_path: str, path: str, keys: Sequence[str], time: str,
             state = spark.read.schema(state_schema).parquet(f"{path}-state/version={batch_id}")
         else:
             state = spark.createDataFrame([], state_schema)
-        bounds = session.materialise(seen.join(state, list(keys), "left").select(
+        bounds = session.materialise(join_null_safe(seen, state, list(keys), "left").select(
             *keys, F.coalesce("first_open", "lo").alias("first_open"), F.greatest("first_open", "hi").alias("still_open")
         ), "open-days")
 
         earliest = bounds.agg(F.min("first_open")).first()[0]
-        todo = raw.where((F.col("batch") <= batch_id) & (F.col("d") >= F.lit(earliest))).join(bounds, list(keys)).where(
+        todo = raw.where((F.col("batch") <= batch_id) & (F.col("d") >= F.lit(earliest)))
+        todo = join_null_safe(todo, bounds, list(keys), "inner").where(
             (F.col("d") >= F.col("first_open")) & (F.col("d") < F.col("still_open"))
         )
-        new = daily_plan.daily_from_samples(todo, keys, time, value, ["batch", "line"], rules)
+        new = daily_plan.daily_from_samples(todo, keys, time, value, ["batch", "file_seq", "line"], rules)
         new.select(*keys, "d", "t").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         opened = bounds.select(*keys, F.col("still_open").alias("first_open")).unionByName(
-            state.join(bounds.select(*keys), list(keys), "left_anti")
+            join_null_safe(state, bounds.select(*keys), list(keys), "left_anti")
         )
         tables.write_table(opened, f"{path}-state", batch_id + 1)
 
