@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 from frostline.llm.common import Stages, components, stack
 
 ROUNDS = 2
-BLOCK = 1000  # members of one side of a block
+BLOCK = 1000        # members of one side of a block
+PACK_ROWS = 4000    # members that small blocks are gathered up to for one call
+Compare = Callable[[dict[str, np.ndarray]], list[tuple[int, int]]]
 
 
-def connect(members: DataFrame, loads: DataFrame, near: Callable[..., F.Column], compare: Callable[[pd.DataFrame], pd.DataFrame],
-            similarity: float, stages: Stages) -> DataFrame:
+def connect(members: DataFrame, loads: DataFrame, near: Callable[..., F.Column], compare: Compare,
+            similarity: float, stages: Stages, rounds: int = ROUNDS) -> DataFrame:
     """Verified links (a, b) of ``node`` values that connect every class.
 
     members: key, node, size (a pair's sizes must be within ``similarity`` of each other; the key's
@@ -33,7 +36,7 @@ def connect(members: DataFrame, loads: DataFrame, near: Callable[..., F.Column],
     degree = members.join(company, "key").groupBy("node").agg(F.sum("n").alias("degree"))
     members = members.join(degree, "node")
     load = F.struct(*[c for c in loads.columns if c != "node"])
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         # first the member with most company, which of a text and its variants is mostly the text; then any
         order = F.struct("degree", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)))
         lead = members.groupBy("key").agg(F.max_by(F.struct("node", "size"), order).alias("lead"))
@@ -56,7 +59,7 @@ def connect(members: DataFrame, loads: DataFrame, near: Callable[..., F.Column],
     return stack(found)
 
 
-def _across(members: DataFrame, loads: DataFrame, compare: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+def _across(members: DataFrame, loads: DataFrame, compare: Compare) -> DataFrame:
     """Blocks of a bucket, two at a time: key, node, class, own, low, high and the loads, in groups of (key, low, high).
 
     Where low and high differ only pairs with different ``own`` are to be compared.
@@ -65,4 +68,17 @@ def _across(members: DataFrame, loads: DataFrame, compare: Callable[[pd.DataFram
     dealt = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("blocks", "other")
-    return dealt.join(loads, "node").groupBy("key", "low", "high").applyInPandas(compare, "a bigint, b bigint")
+    packs = max(1, dealt.count() // PACK_ROWS)
+    pack = F.pmod(F.xxhash64("key", "low", "high"), F.lit(packs))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["key", "low", "high", "node"])
+        columns = {c: group[c].to_numpy() for c in group.columns if c != "pack"}
+        block = np.stack([columns[c] for c in ("key", "low", "high")])
+        cuts = np.flatnonzero((block[:, 1:] != block[:, :-1]).any(axis=0)) + 1
+        out: list[tuple[int, int]] = []
+        for start, end in zip(np.r_[0, cuts], np.r_[cuts, len(group)]):
+            out += compare({c: v[start:end] for c, v in columns.items()})
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return dealt.join(loads, "node").withColumn("pack", pack).groupBy("pack").applyInPandas(run, "a bigint, b bigint")

@@ -85,6 +85,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_hashes: dict[Callable[[str], str], dict[str, int]] = {}
+
+
+def word_hashes(words: list[str], normalise: Callable[[str], str], keep: int = 400_000) -> np.ndarray:
+    """Hash of each normalised word, 0 for those that normalise to nothing; words met before by the worker are looked up."""
+    known = _hashes.setdefault(normalise, {})
+    if len(known) > keep:
+        known.clear()
+    out = [known.get(w) for w in words]
+    for n, value in enumerate(out):
+        if value is None:
+            word = normalise(words[n])
+            out[n] = known[words[n]] = xxhash.xxh3_64_intdigest(word) if word else 0
+    return np.array(out, np.uint64)
+
+
 def word_codes(texts: pa.Array, normalise: Callable[[str], str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each word, the words' text number, and the number of words of each text.
 
@@ -94,10 +110,9 @@ def word_codes(texts: pa.Array, normalise: Callable[[str], str]) -> tuple[np.nda
     lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = lists.flatten().dictionary_encode()
-    words = [normalise(w) for w in coded.dictionary.to_pylist()]
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in words), np.uint64, len(words))
+    hashes = word_hashes(coded.dictionary.to_pylist(), normalise)
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    values = hashes[codes] if len(words) else np.zeros(0, np.uint64)
+    values = hashes[codes] if len(hashes) else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(counts)), counts)
     keep = values != 0
     values, owner = values[keep], owner[keep]

@@ -25,7 +25,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -201,11 +200,10 @@ def _links(members: DataFrame, held: DataFrame, similarity: float, stages: Stage
         common = F.size(F.array_intersect(a["units"], b["units"]))
         return common / (F.size(a["units"]) + F.size(b["units"]) - common) >= similarity
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        band, crossing = int(group["band"].iloc[0]), bool((group["low"] != group["high"]).iloc[0])
-        node, own = group["node"].to_numpy(), group["own"].to_numpy()
+    def compare(group: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+        band, crossing = int(group["band"][0]), bool(group["low"][0] != group["high"][0])
+        node, own, classes = group["node"], group["own"], group["class"].copy()
         earlier = np.stack(list(group["bands"]))[:, :band]
-        classes = np.unique(group["class"].to_numpy(), return_inverse=True)[1]
         sets = [np.sort(u) for u in group["units"]]
         lengths = np.array([len(u) for u in sets])
         out = []
@@ -224,6 +222,6 @@ def _links(members: DataFrame, held: DataFrame, similarity: float, stages: Stage
                     if classes[j] != classes[i]:
                         out.append((node[i], node[j]))
                         classes[classes == classes[j]] = classes[i]
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        return out
 
     return connect(members, held, near, compare, similarity, stages)

@@ -249,7 +249,7 @@ def test_near_duplicates_equal_brute_force(spark):
 
 def test_near_duplicates_across_blocks(spark, monkeypatch):
     """What the chosen members leave apart is compared in blocks, also when a bucket has several."""
-    monkeypatch.setattr("frostline.llm.buckets.ROUNDS", 1)
+    monkeypatch.setattr("frostline.llm.buckets.connect.__defaults__", (1,))
     monkeypatch.setattr("frostline.llm.buckets.BLOCK", 3)
     rows = variants(8)
     got = dart_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), Stages(spark)).toPandas()
