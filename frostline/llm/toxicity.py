@@ -159,7 +159,8 @@ def _sample(documents: DataFrame, labels: DataFrame, per_class: int) -> tuple[Da
     # bounded: 2 * per_class ids
     ids = [r for k in (0, 1) for r in known.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
     chosen = spark.createDataFrame([(r.doc_id, r.toxic) for r in ids], "doc_id bigint, toxic int")
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(chosen, "doc_id")
+    # bounded by 2 * per_class ids, so documents are not shuffled for it
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     # copies say nothing new
     return texts.groupBy("text").agg(F.max("toxic").alias("toxic")), sizes.get(1, 0), sizes.get(0, 0)
 
