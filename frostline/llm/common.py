@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from frostline.session import new_folder
 
-SLICE_BYTES = 6_000_000  # text bytes that one numpy step of a task holds
+SLICE_BYTES = 4_000_000  # text bytes that one numpy step of a task holds
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,8 @@ def with_turn(rows: DataFrame, key: str, turn: str, stages: Stages) -> DataFrame
     from pyspark.sql import Window as W
 
     again = stages.write(rows.groupBy(key).agg(F.count("*").alias("_llm_again")).filter("_llm_again > 1"), "repeated-keys")
+    if again.isEmpty():  # the usual table: no second reading of the rows
+        return rows.withColumn(turn, F.lit(1))
     marked = rows.join(again, key, "left")
     order = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
     single = marked.filter("_llm_again is null").withColumn(turn, F.lit(1))
@@ -72,6 +74,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         cuts = np.flatnonzero(np.diff(part)) + 1
         for start, end in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows]):
             yield batch.slice(int(start), int(end - start))
+    # a worker lives on; what this task needed goes back
+    pa.default_memory_pool().release_unused()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -85,14 +89,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_hashes: dict[Callable[[str], str], dict[str, int]] = {}
+CACHED_WORDS = 300_000
+_cache: dict[object, dict] = {}
 
 
-def word_hashes(words: list[str], normalise: Callable[[str], str], keep: int = 400_000) -> np.ndarray:
-    """Hash of each normalised word, 0 for those that normalise to nothing; words met before by the worker are looked up."""
-    known = _hashes.setdefault(normalise, {})
-    if len(known) > keep:
+def worker_cache(purpose: object) -> dict:
+    """What a Python worker has looked up, across tasks; one purpose at a time, so that stages do not add up."""
+    if purpose not in _cache:
+        _cache.clear()
+    known = _cache.setdefault(purpose, {})
+    if len(known) > CACHED_WORDS:
         known.clear()
+    return known
+
+
+def word_hashes(words: list[str], normalise: Callable[[str], str]) -> np.ndarray:
+    """Hash of each normalised word, 0 for those that normalise to nothing; words met before by the worker are looked up."""
+    known = worker_cache(normalise)
     out = [known.get(w) for w in words]
     for n, value in enumerate(out):
         if value is None:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frostline.llm.common import slices
+from frostline.llm.common import slices, worker_cache
 
 SENTENCE_PENALTY, INNER_PENALTY = 2, 12  # in tokens of padding
 INNER = 24  # tokens between the places where a sentence may be cut
@@ -51,21 +51,19 @@ _LATIN = _byte_letters()
 class WordIds:
     """Ids (32-bit, as bytes) of white-space pieces by the tokenizer's own parts; a part met before is looked up."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.normalise = self.tokenizer.model, self.tokenizer.normalizer.normalize_str
         self.cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.keep = keep
+        self.purpose = ("ids", path)
+        self.known: dict[str, bytes] = worker_cache(self.purpose)
 
     def part(self, part: str) -> bytes:
         ids = self.known.get(part)
         if ids is None:
-            if len(self.known) >= self.keep:
-                self.known.clear()
             ids = self.known[part] = array("i", [t.id for t in self.model.tokenize(part)]).tobytes()
         return ids
 
@@ -90,6 +88,7 @@ def encode(words: WordIds, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np
 
     A blank or a line break is dropped by the tokenizer and parts tokens, so texts are cut there first.
     """
+    words.known = worker_cache(words.purpose)
     lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " \n "), " ")
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = lists.flatten().dictionary_encode()
@@ -168,7 +167,7 @@ def pack_share(doc_ids: list, stream: np.ndarray, tokens: np.ndarray, sentence:
     }
 
 
-def pack(documents: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 2, share_bytes: int = 24 << 20) -> DataFrame:
+def pack(documents: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 2, share_bytes: int = 16 << 20) -> DataFrame:
     """One row per piece of a document. ``tokenizer``: name of a public vocabulary file.
 
     Sequence numbers hold the share in the high bits and count from 0 within it.
@@ -183,7 +182,7 @@ def pack(documents: DataFrame, tokenizer: str, length: int = 4096, end_id: int =
         from public_tokenizers import path
 
         words, ids, parts, at = word_ids(path(tokenizer)), [], [], 0
-        for batch in slices(batches, "text", 12_000_000):
+        for batch in slices(batches, "text", 8_000_000):
             stream, tokens, sentence = encode(words, batch.column("text"), end_id)
             parts.append((stream, tokens, sentence + at))
             at += len(stream)
