@@ -365,6 +365,35 @@ def test_lines_equal_brute_force(spark):
         assert got[doc_id] == "\n".join(x for k, x in enumerate(text.split("\n")) if (n, k) not in gone)
 
 
+def test_lines_by_edit_similarity_alone(spark):
+    """Up to a fifth of the words substituted, inserted or deleted: every near pair is found."""
+    rng, lines = random.Random(11), []
+    for _ in range(60):
+        known = rng_words(rng, rng.randrange(4, 60))
+        lines.append(known)
+        for _ in range(3):
+            line = list(known)
+            for _ in range(rng.randrange(len(known) // 5 + 2)):
+                at = rng.randrange(len(line))
+                line[at:at + rng.choice([1, 1, 0])] = rng_words(rng, rng.choice([1, 1, 0]))
+                line = line or ["x"]
+            lines.append(line)
+    lines += [["the"] * n for n in (4, 5, 9, 10, 40)]
+    rng.shuffle(lines)
+    normal = [fuzzy_lines.line_words(" ".join(x)).tolist() for x in lines]
+    root = list(range(len(lines)))
+    for i, a in enumerate(normal):
+        for j, b in enumerate(normal[:i]):
+            if fuzzy_lines.edits(a, b) <= max(len(a), len(b)) // 5 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    expected = {n for n, x in enumerate(normal) if root[n] != n and len(x) >= 4}
+    assert len(expected) > 100
+    rows = [(n, " ".join(x)) for n, x in enumerate(lines)]
+    got = {r.doc_id for r in fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), Stages(spark)).filter("n_removed > 0").collect()}
+    assert {n for n in got if len(normal[n]) >= 4} == expected
+
+
 def test_edits():
     rng = random.Random(2)
     for _ in range(300):
