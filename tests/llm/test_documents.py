@@ -394,6 +394,14 @@ def test_lines_by_edit_similarity_alone(spark):
     assert {n for n in got if len(normal[n]) >= 4} == expected
 
 
+def test_short_lines_are_deduplicated(spark):
+    """Lines of one to three words: copies go, others stay, and both are counted."""
+    rows = [(1, "Read more\n\nHome\n今日は晴れです\n---"), (2, "read MORE!\nHome page\n---\nA longer line of text here\n今日は晴れです"), (3, "home\nRead less")]
+    got = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), Stages(spark)).collect()
+    assert sorted((r.doc_id, r.text, r.n_removed, r.n_left) for r in got) == [
+        (1, rows[0][1], 0, 3), (2, "Home page\n---\nA longer line of text here", 2, 2), (3, "Read less", 1, 1)]
+
+
 def test_edits():
     rng = random.Random(2)
     for _ in range(300):
