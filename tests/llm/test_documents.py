@@ -402,6 +402,16 @@ def test_short_lines_are_deduplicated(spark):
         (1, rows[0][1], 0, 3), (2, "Home page\n---\nA longer line of text here", 2, 2), (3, "Read less", 1, 1)]
 
 
+def test_document_of_short_lines_stays(spark):
+    """Pipeline: a shared long line over own short lines takes only itself; a document without own lines goes."""
+    import corpus_pipeline
+
+    licence = "All of this text is free to use"
+    rows = [(1, licence + "\nroses"), (2, licence + "\nviolets\nare blue"), (3, licence + "\n---"), (4, "---"), (5, None)]
+    got = corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == [(1, rows[0][1]), (2, "violets\nare blue"), (4, "---"), (5, "")]
+
+
 def test_edits():
     rng = random.Random(2)
     for _ in range(300):
