@@ -37,6 +37,18 @@ def test_equivalence_classes(spark):
     assert r.slot == "html>body>article" and r.skeleton == ["html", "html>body", "html>body>article", "html>body>footer"]
 
 
+def test_odd_pages_and_layouts(spark):
+    """One page with a second article, and a second layout, do not turn pages into whole bodies."""
+    top = "<div class=box>Notice to all {n}</div>"
+    odd = [(n, "http://odd/x", f"<body>{top.format(n=n)}<article><p>text {n}</p></article>{'<article><p>two</p></article>' if n == 3 else ''}</body>") for n in range(20)]
+    two = [(100 + n, "http://two/x", f"<body>{top.format(n=n)}" + (f"<article><p>text {n}</p></article>" if n % 2 else f"<div class=wrap><article><p>text {n}</p></article></div>") + "</body>") for n in range(20)]
+    links = f"<div class=top>{'<a href=1>link</a> ' * 9}</div>"
+    plain = [(200 + n, "http://plain/x", f"<body>{links}" + (f"<div class=k><p>words here {n}</p></div>" if n % 2 else f"<div class=w><div class=v><p>words here {n}</p></div></div>") + "</body>") for n in range(20)]
+    got = {r.page_id: r.main_text for r in html_template.main_text(spark.createDataFrame(odd + two + plain, "page_id int, url string, html string"), Stages(spark)).collect()}
+    assert got == {**{n: f"text {n}" + ("\ntwo" if n == 3 else "") for n in range(20)}, **{100 + n: f"text {n}" for n in range(20)},
+                   **{200 + n: f"words here {n}" for n in range(20)}}
+
+
 def test_pages_awkward(spark):
     rows = [(1, "http://a/1", None, "mine"), (None, None, "", "mine"), (2, "no url", "plain <b>text</b> a < b", "mine"), (3, "http://a/1", "<article>cut <p>off <a href='x", "mine"),
             (3, "http://a/1", "<article>cut <p>off <a href='x", "mine"), (4, "http://c/", "<article>" + "<p>long</p>" * 20_000, "mine"), (5, "http://c/", "<script>never closed", "mine")]
