@@ -41,8 +41,11 @@ class Stages:
         for df in frames:
             path = self._at.pop(id(df), None)
             if path:
-                target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+                self.remove(path)
+
+    def remove(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def row_key(*columns: str) -> F.Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import cover_tree, dart_minhash, decontaminate, fuzzy_lines, html_template, packing, run_index, secrets, sharding, toxicity
+from frostline.llm import cover_tree, dart_minhash, decontaminate, fuzzy_lines, html_template, merkle, packing, run_index, secrets, sharding, sql, toxicity, warc
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -90,3 +90,18 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return run_index.remove_repeats(documents, Stages(spark)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_merkle")
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proofs(table(spark, sf_dir, "documents"), Stages(spark))
+
+
+@query("op13_warc")
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"), Stages(spark))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op11_merkle"] = sql.MERKLE
+ORACLES["op13_warc"] = sql.WARC
