@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import cover_tree, dart_minhash, decontaminate, fuzzy_lines, html_template, merkle, packing, run_index, secrets, sharding, sql, toxicity, warc
+from frostline.llm import cover_tree, dart_minhash, decontaminate, fuzzy_lines, html_template, merkle, packing, pair_counts, run_index, secrets, sharding, sql, toxicity, warc
 from frostline.llm.common import Stages, table
 from frostline.session import pin_utc
 
@@ -97,6 +97,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(table(spark, sf_dir, "documents"), Stages(spark))
 
 
+@query("op12_pair_counts")
+def op12_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pair_counts.align(documents, pair_counts.Tokenizers.public(), Stages(spark))
+
+
 @query("op13_warc")
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"), Stages(spark))
