@@ -329,8 +329,7 @@ def lines_by_brute_force(rows):
         for k, line in enumerate((text or "").split("\n")):
             normal = fuzzy_lines.line_words(line).tolist()
             if len(normal) >= fuzzy_lines.MIN_WORDS:
-                sim = int(fuzzy_lines.line_table(pa.array([line]))[3].view(np.uint64)[0])
-                lines.append((n, k, normal, sim))
+                lines.append((n, k, normal))
     root = list(range(len(lines)))
 
     def find(i):
@@ -338,10 +337,10 @@ def lines_by_brute_force(rows):
             i = root[i]
         return i
 
-    for i, (_, _, a, x) in enumerate(lines):
+    for i, (_, _, a) in enumerate(lines):
         for j in range(i):
-            _, _, b, y = lines[j]
-            if a == b or ((x ^ y).bit_count() <= 3 and fuzzy_lines.edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9):
+            b = lines[j][2]
+            if a == b or fuzzy_lines.edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
                 p, q = find(i), find(j)
                 root[max(p, q)] = min(p, q)
     return {lines[i][:2] for i in range(len(lines)) if find(i) != i}
