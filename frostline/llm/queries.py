@@ -89,7 +89,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_run_index")
 def op9_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return run_index.remove_repeats(documents, Stages(spark)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    cut = run_index.remove_repeats(documents, Stages(spark))
+    # what is left, as text; of a character that a span cuts in two a mark is shown
+    kept = F.make_valid_utf8(F.col("kept").cast("string"))
+    share = F.when(F.col("n_bytes") > 0, F.col("n_removed") / F.col("n_bytes")).otherwise(0.0)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", kept.alias("text"),
+                      share.alias("removed_share"))
 
 
 @query("op11_merkle")
