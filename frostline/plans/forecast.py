@@ -68,69 +68,124 @@ def source_rules(issues: DataFrame, from_release_day: bool = False) -> DataFrame
     )
 
 
-def analysis_months(analysis_daily: DataFrame) -> DataFrame:
-    """Complete months of the analysis: (variable, target, value), reduced by each variable's method.
+def analysis_months(analysis_daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Complete months of the analysis: (keys, variable, target, value), reduced by each variable's method.
 
-    ``analysis_daily`` has variable, d and value: the spatial mean (or daily accumulation).
+    ``analysis_daily`` has keys, variable, d and value: the spatial mean (or daily accumulation).
     """
     method = F.element_at(F.create_map(*[F.lit(x) for n, _, h in PREDICTORS for x in (n, h)]), F.col("variable"))
     month = F.trunc("d", "month").cast("date")
-    folded = analysis_daily.where(F.col("value").isNotNull()).groupBy("variable", month.alias("target")).agg(
+    folded = analysis_daily.where(F.col("value").isNotNull()).groupBy(*keys, "variable", month.alias("target")).agg(
         F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_mean"), F.sum("value").alias("_sum")
     )
     complete = folded.where(F.col("_n") == F.dayofmonth(F.last_day("target")))
     return complete.select(
-        "variable", "target", F.when(method == "sum", F.col("_sum")).otherwise(F.col("_mean")).alias("value")
+        *keys, "variable", "target", F.when(method == "sum", F.col("_sum")).otherwise(F.col("_mean")).alias("value")
     )
 
 
-def spliced_months(rules: DataFrame, analysis_daily: DataFrame, forecast_daily: DataFrame) -> DataFrame:
-    """Members' monthly predictors from forecasts, the observed days of the month spliced in.
+def observed_parts(rules: DataFrame, analysis_daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The observed days of each partly observed target month, as arrays by day of the month.
 
-    ``forecast_daily`` has variable, issue, number, d and value (accumulated since the issue
-    for summed variables).
+    (keys, issued, feed, variable, obs, sums, i1, i2): values, running sums and the first and last observed
+    day. A month has at most 31 days, so a row is small and no join by day is needed later.
     """
-    wanted = rules.select("issued", "feed", "variable", "target", F.col("forecast_issue").alias("issue"),
-                          "observed_until", "method")
-    keys, member = ["issued", "feed", "variable", "target"], ["issue", "number"]
-    leads = forecast_daily.join(wanted.drop("observed_until"), ["variable", "issue"])
-    observed = (
-        wanted.where(F.col("observed_until").isNotNull())
-        .withColumn("d", F.explode(F.sequence("target", "observed_until")))
-        .join(analysis_daily.withColumnRenamed("value", "obs"), ["variable", "d"])
-        .where(F.col("obs").isNotNull())
-    )
-    means = leads.where((F.col("method") == "mean") & (F.trunc("d", "month") == F.col("target")))
-    sums = leads.where(F.col("method") == "sum")
-    mean_obs = observed.where(F.col("method") == "mean").select(*keys, "d", "obs")
-    sum_obs = observed.where(F.col("method") == "sum").select(*keys, "d", "obs")
-    by_mean = ensemble.splice_mean(means, mean_obs, keys).groupBy(*keys, "number").agg(F.avg("value").alias("value"))
-    by_sum = agg.value_at_month_end(
-        ensemble.splice_cumulative(sums, sum_obs, keys, member), ["issued", "feed", "variable", "number"], "d",
-        "value", "target",
-    )
-    return by_mean.select(*keys, "number", "value").unionByName(by_sum.select(*keys, "number", "value"))
-
-
-def forecast_input(rules: DataFrame, analysis_daily: DataFrame, forecast_daily: DataFrame,
-                   stage: Stage = materialise) -> DataFrame:
+    month = F.trunc("d", "month").cast("date")
+    known = analysis_daily.where(F.col("value").isNotNull()).groupBy(*keys, "variable", month.alias("target")).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("d"), "value"))).alias("_days"))
+    asked = rules.where(F.col("observed_until").isNotNull()).select("issued", "feed", "variable", "target", F.dayofmonth("observed_until").alias("_until"))
+    obs = F.transform(F.sequence(F.lit(1), F.lit(31)), lambda n: F.when(n <= F.col("_until"), F.try_element_at("_days", n)))
+    seen = F.filter(F.sequence(F.lit(1), F.lit(31)), lambda n: F.get("obs", n - 1).isNotNull())
+    total = lambda n: F.aggregate(F.slice("obs", 1, n), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+    parts = asked.join(known, ["variable", "target"]).withColumn("obs", obs)
+    return parts.select(*keys, "issued", "feed", "variable", "obs", F.transform(F.sequence(F.lit(1), F.lit(31)), total).alias("sums"),
+                        F.array_min(seen).alias("i1"), F.array_max(seen).alias("i2")).where(F.col("i1").isNotNull())
+
+
+def spliced_months(rules: DataFrame, observed: DataFrame, forecast_daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Members' monthly predictors from forecasts, the observed days of the month spliced in, as one aggregate over the leads.
+
+    ``forecast_daily`` has keys, variable, issue, number, d and value (accumulated since the issue
+    for summed variables). Means take the observed value of a day. A sum is read at the lead nearest to the month's end:
+    within the observed days it is the member's base plus the observed sum, after them the member's value
+    moved by what the observed days changed, as ``ensemble.splice_cumulative`` does for all leads.
+    """
+    names = ["issued", "feed", "variable"]
+    wanted = rules.select(*keys, *names, "target", "method", F.col("forecast_issue").alias("issue"))
+    wanted = wanted.join(observed, [*keys, *names], "left")
+    leads = forecast_daily.join(wanted, [*keys, "variable", "issue"])
+    d, v, summed = F.col("d"), F.col("value"), F.col("method") == "sum"
+    in_month = F.trunc("d", "month") == F.col("target")
+    first, last = F.date_add("target", F.col("i1") - 1), F.date_add("target", F.col("i2") - 1)
+    nth = F.dayofmonth("d") - 1
+    rows = leads.where(summed | in_month).select(
+        *keys, *names, "number", "target", "method", "d", "value", first.alias("i1"), last.alias("i2"),
+        F.when(in_month & ~summed, F.get("obs", nth)).alias("obs"),
+        F.when(in_month & summed & d.between(first, last), F.get("sums", nth)).alias("sum"))
+    at_end = F.when(d <= F.col("i2"), d)
+    # nearest to the month's end, the earlier of two, in one number
+    rank = F.when(v.isNotNull() | F.col("sum").isNotNull(),
+                  F.abs(F.datediff(d, F.last_day("target"))).cast("bigint") * 1_000_000 + F.datediff(d, F.lit("1900-01-01").cast("date")))
+    folded = rows.groupBy(*keys, *names, "number", "target", "method", "i1", "i2").agg(
+        F.avg(F.coalesce("obs", "value")).alias("_mean"), F.min("d").alias("_d0"), F.max_by("value", F.when(d < F.col("i1"), d)).alias("_before"),
+        F.max_by("value", at_end).alias("_old"), F.max_by("sum", at_end).alias("_end"), F.min_by("d", rank).alias("_d"),
+        F.min_by("value", rank).alias("_v"), F.min_by("sum", rank).alias("_s"))
+    base = F.when(F.trunc("_d0", "month") >= F.trunc("i1", "month"), F.lit(0.0)).otherwise(F.coalesce("_before", F.lit(0.0)))
+    at = F.col("_d")
+    spliced = (F.when(at < F.col("i1"), F.col("_v")).when(at <= F.col("i2"), F.coalesce(base + F.col("_s"), F.col("_v")))
+               .otherwise(F.coalesce(F.col("_v") - F.col("_old") + base + F.col("_end"), F.col("_v"))))
+    value = F.when(F.col("method") == "sum", spliced).otherwise(F.col("_mean"))
+    # a sum without any known lead has no row
+    return folded.where((F.col("method") == "mean") | at.isNotNull()).select(*keys, *names, "number", value.alias("value"))
+
+
+def forecast_input(rules: DataFrame, analysis_daily: DataFrame, forecast_daily: DataFrame, stage: Stage = materialise,
+                   keys: Sequence[str] = (), months: DataFrame | None = None) -> DataFrame:
     """Wide predictor rows per issue: member 0 is the ensemble mean, members lacking a variable use it.
 
-    The daily tables are reductions of whole grids and every one of them, like the rules, has
+    ``keys`` (regions) are columns of the daily tables; ``months`` are the complete months of the analysis, by default
+    those of ``analysis_daily``. The daily tables are reductions of whole grids and every one of them, like the rules, has
     several readers here: each is written once.
     """
+    keys, issue = list(keys), ["issued", "feed"]
     rules = stage(rules, "issue-rules")
     analysis_daily = stage(analysis_daily, "analysis-daily")
     forecast_daily = stage(forecast_daily, "forecast-daily")
-    full = rules.where("analysis_due").join(analysis_months(analysis_daily), ["variable", "target"]).select(
-        "issued", "feed", "variable", "value"
-    )
-    open_rules = rules.join(full.select("issued", "feed", "variable"), ["issued", "feed", "variable"], "left_anti")
-    members = spliced_months(stage(open_rules, "open-rules"), analysis_daily, forecast_daily)
-    members = stage(members.select("issued", "feed", "number", "variable", "value"), "members")
-    means = agg.ensemble_mean(members, ["issued", "feed", "variable"])
-    best = align.prefer_source([("analysis", full), ("forecast", means)], ["issued", "feed", "variable"])
-    return ensemble.member_fallback(members, best.drop("source"), ["issued", "feed"], NAMES)
+    months = analysis_months(analysis_daily, keys) if months is None else months
+    full = stage(rules.where("analysis_due").join(months, ["variable", "target"]).select(*keys, *issue, "variable", "value"), "full-months")
+    named = rules
+    if keys:  # a rule is open in the places that its forecast covers
+        places = forecast_daily.select(*keys, "variable", F.col("issue").alias("forecast_issue")).distinct()
+        named = rules.join(places, ["variable", "forecast_issue"])
+    open_rules = named.join(full.select(*keys, *issue, "variable"), [*keys, *issue, "variable"], "left_anti")
+    observed = stage(observed_parts(rules, analysis_daily, keys), "observed-parts")
+    members = spliced_months(stage(open_rules, "open-rules"), observed, forecast_daily, keys)
+    members = stage(members.select(*keys, *issue, "number", "variable", "value"), "members")
+    means = agg.ensemble_mean(members, [*keys, *issue, "variable"])
+    best = align.prefer_source([("analysis", full), ("forecast", means)], [*keys, *issue, "variable"])
+    return ensemble.member_fallback(members, best.drop("source"), [*keys, *issue], NAMES)
+
+
+def missing_predictors(rules: DataFrame, inputs: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = NAMES) -> DataFrame:
+    """Issues for which neither source has a predictor: (keys, issued, feed, missing), ``missing`` in the order of ``names``.
+
+    An issue that no place has any predictor for comes once, with NULL keys.
+    """
+    lacking = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in names]))
+    partly = inputs.where(F.col("number") == 0).select(*keys, "issued", "feed", lacking.alias("missing")).where(F.size("missing") > 0)
+    asked = rules.groupBy("issued", "feed").agg(F.collect_set("variable").alias("_asked"))
+    wholly = asked.join(inputs.select("issued", "feed").distinct(), ["issued", "feed"], "left_anti").select(
+        *[F.lit(None).cast(inputs.schema[k].dataType).alias(k) for k in keys], "issued", "feed",
+        F.filter(F.array(*[F.lit(n) for n in names]), lambda n: F.array_contains("_asked", n)).alias("missing"))
+    return partly.unionByName(wholly)
+
+
+def require_predictors(inputs: DataFrame, keys: Sequence[str] = (), names: Sequence[str] = NAMES) -> DataFrame:
+    """The same rows; the job fails at a row whose ensemble mean lacks a predictor and names the row and the predictor."""
+    label = F.concat_ws(" ", *[F.col(k).cast("string") for k in keys], F.col("issued").cast("string"), "feed")
+    gaps = [F.when(F.col(n).isNull() & (F.col("number") == 0), F.raise_error(F.concat(F.lit(f"{n} not found in analysis or forecast: "), label))) for n in names]
+    checked = F.coalesce(*[g.cast("double") for g in gaps])
+    return inputs.select(*[F.coalesce(c, checked).alias(c) if c in names else F.col(c) for c in inputs.columns])
 
 
 def run_forecast(inputs: DataFrame, fitted: DataFrame, names: Sequence[str] = NAMES) -> DataFrame:

@@ -376,6 +376,9 @@ INPUT_SQL = {
         SELECT issued, feed, number, coalesce(mw.t2m, bw.t2m), coalesce(mw.sf, bw.sf), coalesce(mw.tcc, bw.tcc) FROM mw JOIN bw USING (issued, feed)""",
 }
 ALL_GRID = f"{AN} {GRID} analysis_daily"
+FUD_DATE_SQL = """CASE WHEN p > 365 THEN make_date(season + 1, 1, 1) + CAST(round_even(p - 366, 0) AS INTEGER)
+         WHEN dayofyear(make_date(season, 12, 31)) = 366 THEN make_date(season, 1, 1) + CAST(round_even(p, 0) AS INTEGER)
+         ELSE make_date(season, 1, 1) + CAST(round_even(p - 1, 0) AS INTEGER) END"""
 
 
 @query("forecast_input", with_ctes(ALL_GRID, f"SELECT {text('issued')} AS issued, feed, number, {rnd('t2m')} AS t2m, {rnd('sf', 6)} AS sf, {rnd('tcc')} AS tcc FROM inputs",
@@ -386,9 +389,7 @@ def forecast_input(spark, sf):
 
 
 @query("hindcast", with_ctes(ALL_GRID, f"""SELECT {text('issued')} AS issued, feed, number, season, {rnd('p', 4)} AS prediction, CAST(round_even(p, 0) AS INTEGER) AS fud,
-       {text('''CASE WHEN p > 365 THEN make_date(season + 1, 1, 1) + CAST(round_even(p - 366, 0) AS INTEGER)
-         WHEN dayofyear(make_date(season, 12, 31)) = 366 THEN make_date(season, 1, 1) + CAST(round_even(p, 0) AS INTEGER)
-         ELSE make_date(season, 1, 1) + CAST(round_even(p - 1, 0) AS INTEGER) END''')} AS fud_date
+       {text(FUD_DATE_SQL)} AS fud_date
        FROM (SELECT inputs.*, b + b0 * t2m + b1 * sf + b2 * tcc AS p, CASE WHEN month(issued) <= 4 THEN year(issued) - 1 ELSE year(issued) END AS season
              FROM inputs, fitted)""",
        **RULES_SQL, **INPUT_SQL, **TRAINING, **fit_sql("training")), digits=4)
