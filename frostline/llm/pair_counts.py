@@ -4,6 +4,8 @@ Tokenizer A is a byte-level BPE, B a sentence-piece BPE with byte fallback; B ad
 A gets one too. Where a token of A and a token of B end at the same byte, a group ends; every A token of
 a group is linked with every B token of it. The count of an id pair is the number of documents that hold it linked.
 
+Words are aligned once for each slice of a task, since no token reaches over a space.
+
 1. The first pass aligns the documents; a task reports each pair once with the number of its documents,
    packed by chunk. A chunk holds all pairs of some A ids, so its size is bounded by the two vocabularies.
 2. The distinct pairs of a chunk are united in a tree and get a minimal perfect hash: levels of bits in which a key
@@ -23,8 +25,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frostline.llm.common import Stages, mix, slices, worker_cache
+from frostline.llm.common import Stages, mix, slices
 
-SLICE = 2_000_000
+SLICE = 4_000_000
 CHUNKS = 512
 BRANCH = 32                      # reports or vectors that one step of a tree unites
 HELD_PAIRS = 2_000_000           # pairs a task holds before it unites them
 TABLE_BYTES = 64_000_000
 CROWDED_LINKS = 4096             # links of a group beyond which its ids are counted before they are paired
+LONG_RUN = 10_000                # white space in a row that the quicker library may not be able to read
+RUN = re.compile(rf"\s{{{LONG_RUN}}}")
 SPACE = "▁"
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,6 +69,16 @@ def byte_tokenizer(path: str, pattern: str):
     return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
+@cache
+def patient_tokenizer(path: str):
+    """The same byte-level tokenizer in a library that reads any run of white space."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    return model
+
+
 @cache
 def piece_tokenizer(path: str):
     """The sentence-piece tokenizer, the bytes of every id, their lengths and the id of a lone space."""
@@ -80,16 +96,23 @@ def piece_tokenizer(path: str):
 
 
 class Tokenizers:
-    """Paths of the two tokenizers' files, loaded where they are used."""
+    """Paths of the two tokenizers' files, loaded where they are used. A's vocabulary comes as ranks and, for texts with
+    very long runs of white space, as a tokenizer of the other library."""
 
-    def __init__(self, bytes_path: str, pattern: str, pieces_path: str):
-        self.bytes_path, self.pattern, self.pieces_path = bytes_path, pattern, pieces_path
+    def __init__(self, bytes_path: str, pattern: str, whole_path: str, pieces_path: str):
+        self.bytes_path, self.pattern, self.whole_path, self.pieces_path = bytes_path, pattern, whole_path, pieces_path
 
     @classmethod
-    def public(cls, a: str = "byte_bpe_50k.tiktoken", b: str = "piece_bpe_32k.model") -> Tokenizers:
+    def public(cls, a: str = "byte_bpe_50k", b: str = "piece_bpe_32k.model") -> Tokenizers:
         import public_tokenizers
 
-        return cls(public_tokenizers.path(a), public_tokenizers.PATTERN, public_tokenizers.path(b))
+        path = public_tokenizers.path
+        return cls(path(f"{a}.tiktoken"), public_tokenizers.PATTERN, path(f"{a}.json"), path(b))
+
+    def read_a(self, text: str) -> list[int]:
+        if len(text) > LONG_RUN and RUN.search(text):
+            return patient_tokenizer(self.whole_path).encode(text, add_special_tokens=False).ids
+        return self.a[0].encode_ordinary(text)
 
     @property
     def a(self):
@@ -105,76 +128,45 @@ class Tokenizers:
         return len(self.b[1])
 
 
-def _pieces_of(model, spelled: list[bytes], text: str) -> tuple[list[int], bool]:
-    ids = model.encode(text)
-    return ids, b"".join(spelled[i] for i in ids) == b" " + text.encode()
-
-
-def _encode_b(texts: list[str], tokenizers: Tokenizers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of all texts, their number per text and whether they spell a space and the text. Words met before are looked up."""
-    model, spelled, _ = tokenizers.b
-    known = worker_cache(("pieces", tokenizers.pieces_path))
-    # words are cut at single spaces; texts with runs of spaces or a space at an end are encoded whole
-    plain = np.array(["  " not in t and t[:1] != " " and t[-1:] != " " for t in texts], bool)
-    words = pc.split_pattern(pa.array([t if p else "" for t, p in zip(texts, plain)], pa.large_string()), " ")
-    per_text = np.where(plain, pc.list_value_length(words).to_numpy(zero_copy_only=False), 1)
-    coded = words.flatten().dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    new = [w for w in distinct if w not in known]
-    for word, ids in zip(new, model.encode(new, num_threads=1)):
-        known[word] = (ids, b"".join(spelled[i] for i in ids) == b" " + word.encode())
-    units = [known[w] for w in distinct]
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    starts = np.r_[0, np.cumsum(per_text)][:-1]
-    for n in np.flatnonzero(~plain):  # a unit of its own
-        codes[starts[n]] = len(units)
-        units.append(_pieces_of(model, spelled, texts[n]))
-    sizes = np.array([len(ids) for ids, _ in units], np.int64)
-    right = np.array([ok for _, ok in units], bool)
-    flat = np.array([i for ids, _ in units for i in ids], np.int64)
-    first = np.r_[0, np.cumsum(sizes)][:-1]
-    lengths = sizes[codes]
-    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    ids = flat[np.repeat(first[codes], lengths) + place]
-    owner = np.repeat(np.arange(len(texts)), per_text)
-    counts = np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
-    wrong = np.bincount(owner[~right[codes]], minlength=len(texts)) > 0
-    return ids, counts, ~wrong
-
-
 class Aligned:
-    """Groups of some texts: ids and group of each token of A and B, and the text of each group."""
-
-    def __init__(self, texts: list[str | None], tokenizers: Tokenizers):
-        encoder, a_bytes = tokenizers.a
-        b_bytes = tokenizers.b[2]
-        self.texts = len(texts)
-        full = [n for n, t in enumerate(texts) if t]
-        given = [texts[n] for n in full]
-        b, b_counts, right = _encode_b(given, tokenizers) if given else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
-        b = b[np.repeat(right, b_counts)]
-        given, text_of, b_counts = [t for t, r in zip(given, right) if r], np.array(full, np.int64)[right], b_counts[right]
-        lists = [encoder.encode_ordinary(" " + t) for t in given]
-        a = np.array([i for ids in lists for i in ids], np.int64)
-        a_counts = np.array([len(ids) for ids in lists], np.int64)
+    """Groups of some units of text: ids and group of each token of A and B, and the unit of each group."""
+
+    def __init__(self, units: list[str], tokenizers: Tokenizers, words: int = 0):
+        """The first ``words`` units hold no space, so A reads them as one text."""
+        a_bytes = tokenizers.a[1]
+        model, spelled, b_bytes = tokenizers.b
+        pieces = model.encode(units, num_threads=1)
+        b_counts = np.fromiter(map(len, pieces), np.int64, len(units))
+        b = np.fromiter(chain.from_iterable(pieces), np.int64, int(b_counts.sum()))
+        texts = pa.array(units, pa.large_string())
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False) + 1
+        # pieces spell the unit unless it holds the mark for a space itself
+        self.right = np.ones(len(units), bool)
+        if int(b_bytes[b].sum()) != int(sizes.sum()) or pc.any(pc.match_substring(texts, SPACE)).as_py():
+            self.right = np.array([b"".join(spelled[i] for i in ids) == b" " + u.encode() for ids, u in zip(pieces, units)], bool)
+            b, units, words = b[np.repeat(self.right, b_counts)], [u for u, r in zip(units, self.right) if r], int(self.right[:words].sum())
+        of_unit, b_counts, sizes = np.flatnonzero(self.right), b_counts[self.right], sizes[self.right]
+        read = [" " + " ".join(units[:words])] if words else []
+        ids = [tokenizers.read_a(t) for t in [*read, *(" " + u for u in units[words:])]]
+        a = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
         a_ends, b_ends = np.cumsum(a_bytes[a]), np.cumsum(b_bytes[b])
         marks = np.zeros(int(a_ends[-1]) + 1 if len(a) else 1, bool)
         marks[a_ends] = True
-        borders = b_ends[marks[b_ends]] if len(b) else b_ends  # both cover the same bytes, so every text ends at a border
+        both = marks[b_ends]  # both cover the same bytes, so every unit ends at a border
+        marks[:] = False
+        marks[b_ends[both]] = True
+        at_border = marks[a_ends]
         self.a, self.b = a, b
-        self.a_group, self.b_group = np.searchsorted(borders, a_ends), np.searchsorted(borders, b_ends)
-        self.groups = len(borders)
-        ends = b_ends[np.cumsum(b_counts) - 1] if len(b) else b_ends
-        self.text = text_of[np.searchsorted(ends, borders)]
+        self.a_group, self.b_group = np.cumsum(at_border) - at_border, np.cumsum(both) - both
+        self.groups = int(both.sum())
+        self.unit = np.repeat(of_unit, b_counts)[both]
         self.a_in, self.b_in = np.bincount(self.a_group, minlength=self.groups), np.bincount(self.b_group, minlength=self.groups)
-        self.n_a, self.n_b = np.zeros(self.texts, np.int64), np.zeros(self.texts, np.int64)
-        self.n_a[text_of], self.n_b[text_of] = a_counts, b_counts
+        self.n_a, self.n_b = np.zeros(len(self.right), np.int64), np.zeros(len(self.right), np.int64)
+        until = np.searchsorted(a_ends, np.cumsum(sizes), side="right")
+        self.n_a[of_unit], self.n_b[of_unit] = np.diff(until, prepend=0), b_counts
 
-    def per_text(self, of_groups: np.ndarray) -> np.ndarray:
-        """Exact sums of whole numbers over the groups of each text."""
-        sums = np.r_[0, np.cumsum(of_groups)]
-        first = np.searchsorted(self.text, np.arange(self.texts + 1))
-        return sums[first[1:]] - sums[first[:-1]]
+    def per_unit(self, of_groups: np.ndarray) -> np.ndarray:
+        return _sums(of_groups, self.unit, len(self.right))
 
     def links(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs as numbers, their group and how many links of the group they stand for; in the order of the groups."""
@@ -187,8 +179,8 @@ class Aligned:
         other = np.repeat(first, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         return np.repeat(a, times) * width + b[other], np.repeat(a_group, times), np.repeat(a_times, times) * b_times[other]
 
-    def spelled(self) -> list[str]:
-        """Groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+    def spelled(self) -> np.ndarray:
+        """Groups of each unit as ``a1,a2|b1;a3|b2,b3``."""
         last_a = np.r_[self.a_group[1:] != self.a_group[:-1], True][:len(self.a)]
         last_b = np.r_[self.b_group[1:] != self.b_group[:-1], True][:len(self.b)]
         out = np.empty(len(self.a) + len(self.b), object)
@@ -198,8 +190,67 @@ class Aligned:
         inner, bar, end = (_numbers(top, mark) for mark in ",|;")
         out[at_a] = np.where(last_a, bar[self.a], inner[self.a])
         out[at_b] = np.where(last_b, end[self.b], inner[self.b])
-        cuts = np.r_[0, np.cumsum(self.n_a + self.n_b)]
-        return ["".join(out[s:e].tolist())[:-1] for s, e in zip(cuts[:-1], cuts[1:])]
+        cuts, tokens = np.r_[0, np.cumsum(self.n_a + self.n_b)].tolist(), out.tolist()
+        return np.array([*("".join(tokens[s:e])[:-1] for s, e in zip(cuts[:-1], cuts[1:])), None], object)[:-1]
+
+
+def _sums(values: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """Exact sums of whole numbers by their ascending owner."""
+    sums = np.r_[0, np.cumsum(values)]
+    first = np.searchsorted(owner, np.arange(owners + 1))
+    return sums[first[1:]] - sums[first[:-1]]
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]][:len(values)]]
+
+
+class Texts:
+    """Texts as units that no token of either tokenizer crosses, each distinct unit aligned once.
+
+    Words between single spaces are such units: a space opens a token in both tokenizers, and neither looks over it.
+    A text with runs of spaces or with a space at an end is a unit as a whole.
+    """
+
+    def __init__(self, texts: list[str | None], tokenizers: Tokenizers):
+        plain = ["  " not in t and t[0] != " " and t[-1] != " " if t else True for t in texts]
+        words = pc.split_pattern(pa.array([t or None if p else None for t, p in zip(texts, plain)], pa.large_string()), " ")
+        per_text = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        units, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        distinct = len(units)
+        whole = [n for n, p in enumerate(plain) if not p]
+        if whole:
+            ends = np.cumsum(per_text)
+            codes = np.insert(codes, ends[whole], len(units) + np.arange(len(whole)))
+            per_text[whole] = 1
+            units += [texts[n] for n in whole]
+        self.count, self.aligned = len(texts), Aligned(units, tokenizers, distinct)
+        wrong = np.zeros(len(texts), bool)
+        owner = np.repeat(np.arange(len(texts)), per_text)
+        wrong[owner[~self.aligned.right[codes]]] = True  # such a text has no tokens at all
+        kept = ~wrong[owner]
+        self.codes, self.owner = codes[kept], owner[kept]
+
+    def totals(self, of_units: np.ndarray) -> np.ndarray:
+        return _sums(of_units[self.codes], self.owner, self.count)
+
+    def pairs(self, width: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+        """Linked pairs, and in how many of the texts each is."""
+        pairs, group, _ = self.aligned.links(width)
+        unit, pair = np.divmod(_distinct(self.aligned.unit[group] * span + pairs), span)
+        units = len(self.aligned.right)
+        text, code = np.divmod(_distinct(self.owner * units + self.codes), max(1, units))
+        first = np.searchsorted(unit, np.arange(units + 1))
+        times = (first[1:] - first[:-1])[code]
+        at = np.repeat(first[code] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        return np.unique(_distinct(np.repeat(text, times) * span + pair[at]) % span, return_counts=True)
+
+    def spelled(self) -> list[str]:
+        """Groups of each text; empty where it has no tokens."""
+        words, cuts = self.aligned.spelled()[self.codes].tolist(), np.searchsorted(self.owner, np.arange(self.count + 1)).tolist()
+        return [";".join(words[s:e]) for s, e in zip(cuts[:-1], cuts[1:])]
 
 
 _number_words: dict[str, np.ndarray] = {}
@@ -241,10 +292,7 @@ def _report(tokenizers: Tokenizers) -> Callable[[Iterator[pa.RecordBatch]], Iter
         span = width * len(tokenizers.a[1])
         keys, counts, held, bounds = [], [], 0, 0
         for batch in slices(batches, "text", SLICE):
-            aligned = Aligned(batch.column("text").to_pylist(), tokenizers)
-            pairs, group, _ = aligned.links(width)
-            in_text = np.unique(aligned.text[group] * span + pairs) % span
-            some, times = np.unique(in_text, return_counts=True)
+            some, times = Texts(batch.column("text").to_pylist(), tokenizers).pairs(width, span)
             keys.append(some)
             counts.append(times)
             held += len(some)
@@ -395,26 +443,23 @@ def _score(tokenizers: Tokenizers, shared, last: bool) -> Callable[[Iterator[pa.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = shared.value
         for batch in slices(batches, "text", SLICE):
-            aligned = Aligned(batch.column("text").to_pylist(), tokenizers)
+            texts = Texts(batch.column("text").to_pylist(), tokenizers)
+            aligned = texts.aligned
             keys, group, times = aligned.links(pairs.width)
             number = pairs.number(keys)
             held = number >= 0
-            number, text, times = number[held], aligned.text[group[held]], times[held]
-            first = np.searchsorted(text, np.arange(aligned.texts + 1))
-
-            def total(values: np.ndarray) -> np.ndarray:
-                sums = np.r_[0, np.cumsum(values)]
-                return sums[first[1:]] - sums[first[:-1]]
-
+            number, unit, times = number[held], aligned.unit[group[held]], times[held]
             counts, best = (pairs.counts, pairs.best) if len(pairs.keys) else (np.zeros(0, np.int64), np.zeros(0, bool))
+            total = lambda values: texts.totals(_sums(values, unit, len(aligned.right)))
             n_best = total(times * best[number]) + batch.column("n_best").to_numpy(zero_copy_only=False)
             count_sum = total(times * counts[number]) + batch.column("count_sum").to_numpy(zero_copy_only=False)
             if not last:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64())],
                                                  ["doc_id", "text", "n_best", "count_sum"])
                 continue
-            spelled = [hashlib.sha256(s.encode("ascii")).hexdigest() if s else "" for s in aligned.spelled()]
-            whole = [aligned.n_a, aligned.n_b, aligned.per_text(np.ones(aligned.groups, np.int64)), aligned.per_text(aligned.a_in * aligned.b_in), n_best, count_sum]
+            spelled = [hashlib.sha256(s.encode("ascii")).hexdigest() if s else "" for s in texts.spelled()]
+            of_units = [aligned.n_a, aligned.n_b, aligned.per_unit(np.ones(aligned.groups, np.int64)), aligned.per_unit(aligned.a_in * aligned.b_in)]
+            whole = [*map(texts.totals, of_units), n_best, count_sum]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in whole], pa.array(spelled, pa.string())],
                                              [c.split()[0] for c in SCORED.split(", ")])
 
@@ -455,7 +500,7 @@ def spelled_groups(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     """doc_id and the aligned groups of ids themselves, as ``a1,a2|b1;a3|b2,b3``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            groups = Aligned(batch.column("text").to_pylist(), tokenizers).spelled()
+            groups = Texts(batch.column("text").to_pylist(), tokenizers).spelled()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(groups, pa.string())], ["doc_id", "groups"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, groups string")
