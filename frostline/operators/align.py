@@ -90,14 +90,15 @@ def anomaly(df: DataFrame, keys: Sequence[str], group: Column, value: str, out:
 
 
 def nearest_join(targets: DataFrame, data: DataFrame, keys: Sequence[str], time: str, value: str,
-                 max_dist: float | None = None, unit: str = o.DAY, block: str | None = None,
+                 max_dist: float | None = None, unit: str = o.DAY, block: str | None = o.AUTO,
                  out: str = "nearest", stage: Stage = materialise) -> DataFrame:
     """For every target label the value at the nearest label of the same keys, looking both ways.
 
     Ties take the earlier label. Targets and data are stacked and each target reads its
     known neighbours, so no pair of rows is ever formed; with ``block`` long series are
-    split in time like any other ordered operator.
+    split in time like any other ordered operator (by default those of time stamps).
     """
+    block = o.block_for(targets, time, block)
     known = data.where(F.col(value).isNotNull()).select(*keys, time, value, F.lit(False).alias("_target"))
     asked = targets.select(*keys, time, F.lit(None).cast("double").alias(value), F.lit(True).alias("_target"))
     stacked = known.unionByName(asked).groupBy(*keys, time).agg(

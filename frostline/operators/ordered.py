@@ -28,6 +28,7 @@ from frostline.session import Stage, materialise
 
 DAY = "day"
 HOUR = "hour"
+AUTO = "auto"  # blocks of an hour for time stamps, whole series for days
 # Microseconds per unit.
 MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
@@ -50,6 +51,13 @@ def time_position(df: DataFrame, time: str) -> Column:
     return position(F.col(time), df.schema[time].dataType.typeName())
 
 
+def block_for(df: DataFrame, time: str, block: str | None) -> str | None:
+    """The block to use: stamps may be dense, so a series of them is never held whole unless None is asked for."""
+    if block != AUTO:
+        return block
+    return None if df.schema[time].dataType.typeName() == "date" else HOUR
+
+
 @dataclass(frozen=True)
 class Axis:
     """Keys and integer position column of a set of series, with an optional block column."""
@@ -237,29 +245,72 @@ def run_length(flag: Column, axis: Axis, out: str = "_run") -> tuple[Column, Col
     return run, length
 
 
+def stitched_runs(df: DataFrame, flag: str, axis: Axis, out: str = "run_len", stage: Stage = materialise) -> DataFrame:
+    """Adds to every flagged row the length of its run in rows, also of runs that cross block borders; 0 to the others.
+
+    A run inside a block is numbered by the unflagged rows before it. What crosses a border is the first and
+    the last run of a block: the blocks' own table, one row each, sums them over blocks that are flagged
+    throughout, in both directions, and gives a block what its first and last run gain.
+    """
+    running = axis.forward().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    on = F.coalesce(F.col(flag), F.lit(False))
+    numbered = df.withColumn("_run", F.sum(F.when(on, 0).otherwise(1)).over(running))
+    one = Window.partitionBy(*axis.partition, "_run")
+    numbered = numbered.withColumn(out, F.when(on, F.sum(F.when(on, 1).otherwise(0)).over(one)).otherwise(F.lit(0)))
+    if axis.block is None:
+        return numbered.drop("_run")
+    numbered = stage(numbered, "numbered-runs")
+    last = F.max("_run")
+    blocks = numbered.groupBy(*axis.partition).agg(
+        last.alias("_last"), F.count(F.lit(1)).alias("_n"), F.max(F.when(F.col("_run") == 0, F.col(out))).alias("_head"),
+        F.max_by(out, F.when(on, F.col("_run"))).alias("_tail"), F.max(F.when(on, F.col("_run"))).alias("_tail_run"))
+    # the last run counts only if it reaches the block's end, that is if it bears the last number
+    tail = F.when(F.col("_tail_run") == F.col("_last"), F.col("_tail")).otherwise(F.lit(0))
+    blocks = blocks.where(F.col(axis.block).isNotNull()).withColumn("_full", F.col("_last") == 0).withColumn("_tail", tail)
+    forward = Window.partitionBy(*axis.keys).orderBy(axis.block)
+    backward = Window.partitionBy(*axis.keys).orderBy(F.col(axis.block).desc())
+    until = (Window.unboundedPreceding, -1)
+
+    sums = blocks
+    for name, order, own in (("f", forward, F.col("_tail")), ("b", backward, F.coalesce("_head", F.lit(0)))):
+        so_far = F.sum(F.when(F.col("_full"), F.col("_n")).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        sums = sums.withColumn(f"_{name}_sum", so_far)
+        mark = F.when(~F.col("_full"), F.struct(F.col(f"_{name}_sum").alias("sum"), own.alias("own")))
+        sums = sums.withColumn(f"_{name}_mark", F.last(mark, ignorenulls=True).over(order.rowsBetween(*until)))
+        sums = sums.withColumn(f"_{name}_before", F.lag(f"_{name}_sum", 1, 0).over(order))
+        gain = F.col(f"_{name}_before") - F.coalesce(F.col(f"_{name}_mark.sum"), F.lit(0)) + F.coalesce(F.col(f"_{name}_mark.own"), F.lit(0))
+        sums = sums.withColumn(f"_{name}_gain", gain)
+    gains = stage(sums.select(*axis.partition, "_last", F.col("_f_gain").alias("_first_gain"), F.col("_b_gain").alias("_last_gain")), "run-gains")
+    joined = join_null_safe(numbered, gains, axis.partition, "left")
+    more = F.when(F.col("_run") == 0, F.coalesce("_first_gain", F.lit(0))).otherwise(0) + F.when(F.col("_run") == F.col("_last"), F.coalesce("_last_gain", F.lit(0))).otherwise(0)
+    return joined.withColumn(out, F.when(F.coalesce(F.col(flag), F.lit(False)), F.col(out) + more).otherwise(F.lit(0))).drop("_run", "_last", "_first_gain", "_last_gain")
+
+
 # --- whole-frame forms -----------------------------------------------------------------
 # With ``block`` the input is read three times (counts, carry, result): pass a stored table.
 
 
 def _apply(df: DataFrame, keys: Sequence[str], time: str, value: str, block: str | None, build) -> DataFrame:
-    framed, axis = with_axis(df, keys, time, block)
+    framed, axis = with_axis(df, keys, time, block_for(df, time, block))
     return drop_axis(build(attach_carry(framed, axis, value), axis))
 
 
-def ffill_series(df, keys, time="d", value="t", out="t_ffill", block=None) -> DataFrame:
+def ffill_series(df, keys, time="d", value="t", out="t_ffill", block=AUTO) -> DataFrame:
     return _apply(df, keys, time, value, block, lambda x, a: x.withColumn(out, ffill(F.col(value), a)))
 
 
 def interpolate_series(df, keys, time="d", value="t", out="t_interp", max_gap: float | None = None,
-                       unit: str = DAY, block=None) -> DataFrame:
+                       unit: str = DAY, block=AUTO) -> DataFrame:
     gap = None if max_gap is None else int(max_gap * MICROS[unit])
     return _apply(df, keys, time, value, block, lambda x, a: x.withColumn(out, interpolate(F.col(value), a, gap)))
 
 
 def differentiate_series(df, keys, time="d", value="t", out="dt", unit: str = DAY, per: float = 1.0,
-                         fill: bool = True, block=None) -> DataFrame:
+                         fill: bool = True, block=AUTO) -> DataFrame:
     """Derivative per ``per`` units; ``fill`` carries the last value forward first."""
     size = int(per * MICROS[unit])
+    if block == AUTO and not fill:
+        block = None  # only the filled derivative is known across borders
 
     def build(x: DataFrame, a: Axis) -> DataFrame:
         source = ffill(F.col(value), a) if fill or a.block else F.col(value)
@@ -271,15 +322,16 @@ def differentiate_series(df, keys, time="d", value="t", out="dt", unit: str = DA
     return _apply(df, keys, time, value, block, build)
 
 
-def cumsum_series(df, keys, time="d", value="t", out="running", block=None) -> DataFrame:
+def cumsum_series(df, keys, time="d", value="t", out="running", block=AUTO) -> DataFrame:
     return _apply(df, keys, time, value, block, lambda x, a: x.withColumn(out, cumsum(F.col(value), a)))
 
 
-def interpolate_to_grid(sparse: DataFrame, grid: DataFrame, keys, time="d", value="t", out="t_grid") -> DataFrame:
+def interpolate_to_grid(sparse: DataFrame, grid: DataFrame, keys, time="d", value="t", out="t_grid", block=AUTO,
+                        stage: Stage = materialise) -> DataFrame:
     """Drop missing values, interpolate onto the grid's labels; outside the range stays missing.
 
     Grid and samples are stacked rather than joined, so labels off the grid still serve as
-    neighbours and the data crosses the network once.
+    neighbours and the data crosses the network once. Series of stamps are interpolated block by block.
     """
     samples = sparse.where(F.col(value).isNotNull()).select(*keys, time, F.col(value), F.lit(False).alias("_on"))
     labels = grid.select(*keys, time).distinct().select("*", F.lit(None).cast("double").alias(value),
@@ -287,4 +339,7 @@ def interpolate_to_grid(sparse: DataFrame, grid: DataFrame, keys, time="d", valu
     stacked = samples.unionByName(labels).groupBy(*keys, time).agg(
         F.max(value).alias(value), F.max("_on").alias("_on")
     )
-    return interpolate_series(stacked, keys, time, value, out).where("_on").drop("_on", value)
+    block = block_for(sparse, time, block)
+    if block:
+        stacked = stage(stacked, "stacked-labels")  # counted, summarised and read again
+    return interpolate_series(stacked, keys, time, value, out, block=block).where("_on").drop("_on", value)

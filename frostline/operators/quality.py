@@ -93,12 +93,13 @@ def mask_sigma(df: DataFrame, keys, day="d", value="t_processed", sigma=5.0) ->
 
 
 def mask_spikes(df: DataFrame, keys, day="d", value="t", limit=6.0, upper=30.0, unit_days=2.0,
-                out="t_masked") -> DataFrame:
-    """Keep daily values that change at most ``limit`` per unit and stay within the upper bound.
+                out="t_masked", block: str | None = o.AUTO, stage: Stage = materialise) -> DataFrame:
+    """Keep values that change at most ``limit`` per unit and stay within the upper bound.
 
-    A missing derivative loses the value.
+    A missing derivative loses the value. Series of time stamps are read block by block.
     """
-    framed, axis = o.with_axis(df, keys, day)
+    framed, axis = o.with_axis(df, keys, day, o.block_for(df, day, block), stage=stage)
+    framed = o.attach_carry(framed, axis, value, stage)
     hs, hd = o.spacing(axis, int(unit_days * o.MICROS[o.DAY]))
     framed = framed.select("*", o.ffill(F.col(value), axis).alias("_filled"), hs.alias("_hs"), hd.alias("_hd"))
     framed = framed.withColumn("_dt", o.differentiate(F.col("_filled"), axis, F.col("_hs"), F.col("_hd")))
@@ -148,6 +149,24 @@ def mask_own_day_deviation(df: DataFrame, keys: Sequence[str], time: str, value:
     return joined.withColumn(out, val.keep_where(F.col(value), ok)).drop("_day", "_day_mean")
 
 
+def mask_stuck_samples(df: DataFrame, keys: Sequence[str], time: str, value: str, eps: float, above: float, min_len: int,
+                       out: str = "t_kept", block: str | None = o.AUTO, stage: Stage = materialise) -> DataFrame:
+    """Runs of at least ``min_len`` samples that change less than ``eps`` per hour above a temperature become missing.
+
+    The rate is the derivative of the forward-filled series. Adds ``out`` and run_len, the samples in the row's run,
+    also where the run crosses blocks. Samples must have unique time stamps per series.
+    """
+    framed, axis = o.with_axis(df, keys, time, o.block_for(df, time, block), stage=stage)
+    framed = o.attach_carry(framed, axis, value, stage)
+    hs, hd = o.spacing(axis, o.MICROS[o.HOUR])
+    framed = framed.select("*", o.ffill(F.col(value), axis).alias("_filled"), hs.alias("_hs"), hd.alias("_hd"))
+    rate = o.differentiate(F.col("_filled"), axis, F.col("_hs"), F.col("_hd"))
+    framed = framed.withColumn("_flag", (F.abs(rate) < eps) & (F.col(value) > above)).drop("_filled", "_hs", "_hd", "_carry")
+    runs = o.stitched_runs(framed, "_flag", axis, "run_len", stage)
+    kept = val.drop_where(F.col(value), F.col("run_len") >= min_len)
+    return o.drop_axis(runs.withColumn(out, kept)).drop("_flag")
+
+
 def raw_quality_chain(samples: DataFrame, keys: Sequence[str], time: str = "ts", value: str = "t",
                       rules: RawRules = RawRules(), block: str = "hour", stage: Stage = materialise) -> DataFrame:
     """Spike mask, own-day deviation and interpolation of a high-rate series, as t_clean.

@@ -87,6 +87,38 @@ def raw_nearest(spark, sf):
     return found.select("k", F.unix_micros("ts").alias("target_us"), F.unix_micros("label").alias("label_us"), "nearest")
 
 
+STUCK = {"filled": f"SELECT k, event_id, us, t, last_value(t IGNORE NULLS) {FWD} AS f FROM obs"}
+
+
+@query("raw_constant_runs", with_ctes("obs", f"""SELECT event_id, CASE WHEN flag THEN count(*) OVER (PARTITION BY k, run, flag) ELSE 0 END AS run_len,
+       {rnd('CASE WHEN NOT (flag AND count(*) OVER (PARTITION BY k, run, flag) >= 3) THEN t END')} AS t_kept
+       FROM (SELECT *, sum(CASE WHEN flag THEN 0 ELSE 1 END) {FWD} AS run FROM (SELECT *, coalesce(abs(rate) < 60 AND t > 20, FALSE) AS flag FROM x))""",
+       **STUCK, x=sql_derivative("filled", "f", "us", HOUR_US, "rate")))
+def raw_constant_runs(spark, sf):
+    """Stuck stretches of the high-rate series, found by blocks of an hour and stitched over their borders."""
+    samples = i.obs(spark, sf).select("k", "event_id", "ts", "t")
+    return quality.mask_stuck_samples(samples, K, "ts", "t", 60.0, 20.0, 3).select("event_id", F.col("run_len").cast("bigint").alias("run_len"), "t_kept")
+
+
+@query("raw_spike_mask", with_ctes("obs", f"SELECT event_id, {rnd('CASE WHEN abs(rate) <= 6000 AND t <= 120 THEN t END')} AS t_masked FROM x", **STUCK,
+       x=sql_derivative("filled", "f", "us", 2 * 24 * HOUR_US, "rate")))
+def raw_spike_mask(spark, sf):
+    """The mask of the daily chain at the grain of the samples."""
+    return quality.mask_spikes(i.obs(spark, sf).select("k", "event_id", "ts", "t"), K, "ts", limit=6000.0, upper=120.0).select("event_id", "t_masked")
+
+
+@query("raw_interpolate_to_grid", with_ctes("obs", f"SELECT k, us, {rnd('t_grid')} AS t_grid FROM x WHERE on_grid",
+       held="SELECT k, us, max(t) AS t, max(on_grid) AS on_grid FROM (SELECT k, us, t, FALSE AS on_grid FROM obs WHERE t <= 60 UNION ALL "
+            "SELECT DISTINCT k, epoch_us(date_trunc('hour', ts)), CAST(NULL AS DOUBLE), TRUE FROM obs) GROUP BY 1, 2",
+       x=sql_interpolate("held", "t", "us", "t_grid")))
+def raw_interpolate_to_grid(spark, sf):
+    """Samples interpolated onto the full hours, by blocks."""
+    samples = i.obs(spark, sf)
+    hours = samples.select("k", F.date_trunc("hour", "ts").alias("ts"))
+    grid_rows = ordered.interpolate_to_grid(samples.where(F.col("t") <= 60).select("k", "ts", "t"), hours, K, "ts")
+    return grid_rows.select("k", F.unix_micros("ts").alias("us"), "t_grid")
+
+
 CLEAN = {
     "filled": f"SELECT k, event_id, us, ts, t, last_value(t IGNORE NULLS) {FWD} AS f FROM obs",
     "rated": sql_derivative("filled", "f", "us", HOUR_US, "rate"),
