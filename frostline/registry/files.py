@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from frostline import session
 from frostline.registry import inputs as i
 from frostline.registry.base import query
 from frostline.registry.inputs import rnd, text, with_ctes
-from frostline.sources import grid, tables
+from frostline.sources import grid, tables, tail
 from frostline.sources import text as text_source
+from frostline.streaming import closed
 from frostline.streaming import ingest as stream
 
 
@@ -116,3 +118,72 @@ def append_retried(spark, sf):
     for _ in range(2):
         tables.append_forecast(rows, path)
     return tables.read_forecast_log(spark, path).groupBy("feed", "issued").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- numbered logger files in order ----------------------------------------------------
+
+
+def _log_file(folder: str):
+    """Writes the lines of one station and number, in order, as one file."""
+    import pandas as pd
+
+    def write(lines: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        station, number = lines["k"].iloc[0], int(lines["number"].iloc[0])
+        ordered = lines.assign(own=lines["copy"] != 2).sort_values(["own", "copy", "event_id"])  # copies of the day before come first
+        text = "".join(f'"{stamp}","1","{t}","a","b","c"\n' for stamp, t in zip(ordered["stamp"], ordered["t"]))
+        name = f"{root}/{station}.dat{number}.dat"
+        with system.open_output_stream(f"{name}.{id(lines)}.tmp", compression=None) as out:
+            out.write(text.encode("utf-8"))
+        system.move(f"{name}.{id(lines)}.tmp", name)
+        return pd.DataFrame({"n": [len(lines)]})
+
+    return write
+
+
+def put_numbered_files(rows: DataFrame, folder: str) -> int:
+    """A file per station and number, written by the tasks; returns the number of lines."""
+    return rows.groupBy("k", "number").applyInPandas(_log_file(folder), "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
+LAG = 5          # days that stations may lag behind each other
+LATE_FILE = 10   # comes only after the first run
+
+
+def numbered_samples(spark, sf) -> DataFrame:
+    """Samples by station, day and file; of every seventh a wrong copy follows in its own file and in the next one."""
+    days = Window.partitionBy("k").orderBy("d")
+    numbers = i.obs(spark, sf).select("k", F.to_date("ts").alias("d")).distinct().withColumn("number", F.row_number().over(days) - 1)
+    copies = F.when(F.col("event_id") % 7 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
+    rows = i.obs(spark, sf).withColumn("d", F.to_date("ts")).join(numbers, ["k", "d"]).withColumn("copy", F.explode(copies))
+    return rows.select("k", "event_id", "copy", (F.col("number") + F.when(F.col("copy") == 2, 1).otherwise(0)).alias("number"),
+                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("stamp"), (F.col("t") + F.col("copy") * 1000).alias("t"))
+
+
+CLOSED_SCHEMA = T.StructType([T.StructField("series_key", T.StringType()), T.StructField("d", T.DateType()), T.StructField("t", T.DoubleType()), T.StructField("n", T.LongType())])
+
+
+@query("stream_closed_days", with_ctes("obs", f"""SELECT k, {text('d')} AS d, {rnd('t')} AS t, n FROM (SELECT k, CAST(ts AS DATE) AS d, avg(t) AS t, count(*) AS n FROM firsts GROUP BY 1, 2), newest
+       WHERE CAST(d + 1 AS TIMESTAMP) <= top - INTERVAL {LAG} DAY""",
+       firsts="SELECT k, ts, arg_min(t, event_id) AS t FROM obs GROUP BY 1, 2",
+       newest="SELECT max(ts) AS top FROM obs WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM obs)"))
+def stream_closed_days(spark, sf):
+    """Numbered files of several stations read in order over two runs, one file late, copies of samples in later lines and
+    files, the file of the open day left out: every closed day once, from first copies."""
+    path = session.new_folder(spark, "numbered-log")
+    rows = session.materialise(numbered_samples(spark, sf), "numbered-samples")
+    open_day = str(i.obs(spark, sf).agg(F.max(F.to_date("ts"))).first()[0])
+
+    def run() -> None:
+        log = tail.numbered_log_stream(spark, f"{path}/in", open_day).where("corrupt IS NULL")
+        days = closed.closed_days(log, ["series_key"], "ts", "t", ["file_seq", "line"], f"{LAG} days")
+        closed.run_until_idle(days, stream.insert_only_table(f"{path}/daily", CLOSED_SCHEMA, ["series_key", "d"]), f"{path}/checkpoint")
+
+    put_numbered_files(rows.where(F.col("number") != LATE_FILE), f"{path}/in")
+    run()
+    put_numbered_files(rows.where(F.col("number") == LATE_FILE), f"{path}/in")
+    run()
+    return stream.inserted_rows(spark, f"{path}/daily", CLOSED_SCHEMA).withColumnRenamed("series_key", "k")

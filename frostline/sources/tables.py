@@ -26,10 +26,30 @@ def write_table(df: DataFrame, path: str, version: int) -> None:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame:
     """A version of a table, by default the newest."""
-    full = T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])
-    table = spark.read.schema(full).parquet(path)
-    wanted = F.lit(version) if version is not None else table.agg(F.max("version")).scalar()
-    return table.where(F.col("version") == wanted).drop("version")
+    wanted = version if version is not None else max(versions(spark, path))
+    return spark.read.schema(schema).parquet(f"{path}/version={int(wanted)}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Spark's own file systems; nothing happens where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a table from the names of its folders; no file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(root) if entry.isDirectory()]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
+
+
+def keep_versions(spark: SparkSession, path: str, count: int) -> None:
+    """Remove all but the newest ``count`` versions; keep at least two where a failed batch may read the one before again."""
+    for version in versions(spark, path)[:-count]:
+        remove_path(spark, f"{path}/version={version}")
 
 
 def slice_time(df: DataFrame, time: str, first: str | None = None, last: str | None = None) -> DataFrame:
