@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frostline import session
+from frostline.functions import calendar as cal
+from frostline.operators import moments, ordered
 from frostline.registry import inputs as i
 from frostline.registry.base import query
-from frostline.registry.inputs import rnd, text, with_ctes
-from frostline.sources import grid, tables, tail
+from frostline.registry.ingest import HOLED
+from frostline.registry.inputs import rnd, sql_derivative, sql_interpolate, text, with_ctes
+from frostline.sources import gates, grid, slices, tables, tail
 from frostline.sources import text as text_source
 from frostline.streaming import closed
 from frostline.streaming import ingest as stream
@@ -187,3 +192,70 @@ def stream_closed_days(spark, sf):
     put_numbered_files(rows.where(F.col("number") == LATE_FILE), f"{path}/in")
     run()
     return stream.inserted_rows(spark, f"{path}/daily", CLOSED_SCHEMA).withColumnRenamed("series_key", "k")
+
+
+# --- kept up to date -------------------------------------------------------------------
+
+
+@query("climatology_batches", with_ctes("daily", f"""SELECT k, doy, {rnd('avg(t)')} AS clim, {rnd('stddev_pop(t)')} AS sd, {rnd('min(t)')} AS lo, {rnd('max(t)')} AS hi, {rnd('max(t) - min(t)')} AS band,
+       {rnd('max(mean_sd)')} AS mean_sd FROM (SELECT k, dayofyear(d) AS doy, t FROM daily) JOIN spreads USING (k) GROUP BY 1, 2""",
+       spreads="SELECT k, avg(sd) AS mean_sd FROM (SELECT k, dayofyear(d) AS doy, stddev_pop(t) AS sd FROM daily GROUP BY 1, 2) GROUP BY 1"))
+def climatology_batches(spark, sf):
+    """Climatology and mean spread kept over four batches of years, the last one repeated, without reading stored days again."""
+    path = session.new_folder(spark, "moments")
+    days = session.materialise(i.daily(spark, sf), "days")
+    sink = moments.moments_table(path, ["k"])
+    parts = [F.year("d") < 1994, F.year("d").between(1994, 1995), F.year("d") == 1996, F.year("d") > 1996]
+    for batch, part in [*enumerate(parts), (3, parts[3])]:
+        sink(days.where(part), batch)
+    stored = tables.read_table(spark, path, moments.day_moments(days, ["k"]).schema)
+    return moments.climatology_of(stored, ["k"]).join(moments.mean_spread(stored, ["k"]), "k")
+
+
+SLICE = ("2024-01-10", "2024-01-12")
+
+
+@query("raw_slice", with_ctes("obs", f"""SELECT event_id, {rnd('t_interp')} AS t_interp, {rnd('dt', 4)} + 0.0 AS dt FROM (SELECT event_id, ts, t_interp FROM filled)
+       JOIN (SELECT event_id, dt FROM derived) USING (event_id) WHERE CAST(ts AS DATE) BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'""",
+       h=HOLED, filled=sql_interpolate("h", "t", "us", "t_interp"),
+       f="SELECT *, last_value(t IGNORE NULLS) OVER (PARTITION BY k ORDER BY us ROWS UNBOUNDED PRECEDING) AS f FROM h", derived=sql_derivative("f", "f", "us", 3_600_000_000, "dt")))
+def raw_slice(spark, sf):
+    """Three days of a table stored by day, interpolated and derived with a halo of neighbouring rows in place of the whole series."""
+    path = session.new_folder(spark, "samples-by-day")
+    samples = i.obs(spark, sf).select("k", "event_id", "ts", F.when(F.col("t") <= 60, F.col("t")).alias("t"), F.to_date("ts").alias("d"))
+    samples.hint("rebalance", "d").write.partitionBy("d").parquet(path)
+    first, last = (dt.date.fromisoformat(d) for d in SLICE)
+    rows = session.materialise(slices.SliceReader(spark, path, samples.schema, ["k"], "ts", "t").read(first, last), "slice")
+    inside = F.col("d").between(F.lit(SLICE[0]).cast("date"), F.lit(SLICE[1]).cast("date"))
+    filled = ordered.interpolate_series(rows, ["k"], "ts").where(inside).select("k", "ts", "t_interp")
+    derived = ordered.differentiate_series(rows, ["k"], "ts", unit="hour").where(inside).select("k", "ts", F.round("dt", 4).alias("dt"))
+    ids = spark.read.parquet(path).where(inside).select("k", "ts", "event_id")
+    return ids.join(filled, ["k", "ts"]).join(derived, ["k", "ts"]).select("event_id", "t_interp", "dt")
+
+
+@query("run_gates", with_ctes("obs", f"""SELECT 'samples' AS stage, count(CASE WHEN t <= 120 THEN 1 END) AS n_rows, {text('max(CASE WHEN t <= 120 THEN CAST(ts AS DATE) END)')} AS last_d,
+       count(CASE WHEN t > 120 THEN 1 END) AS refused, TRUE AS ok FROM obs
+       UNION ALL SELECT 'daily', count(*), {text('max(d)')}, 0, FALSE FROM days""",
+       days="SELECT k, CAST(ts AS DATE) AS d FROM obs WHERE t <= 120 GROUP BY 1, 2"))
+def run_gates(spark, sf):
+    """Two steps of a run whose gates are measured by the jobs that write their tables; the second is not fresh enough."""
+    path = session.new_folder(spark, "run")
+    samples = i.obs(spark, sf).select("k", "ts", "t")
+    if gates.write_observed(samples, f"{path}/samples", f"{path}/status", "samples", F.to_date("ts"), F.col("t") > 120, fresh_after="2024-01-02"):
+        stored = spark.read.schema(samples.schema).parquet(f"{path}/samples")
+        days = stored.groupBy("k", F.to_date("ts").alias("d")).agg(F.avg("t").alias("t"))
+        gates.write_observed(days, f"{path}/daily", f"{path}/status", "daily", F.col("d"), fresh_after="2999-01-01")
+    return gates.run_status(spark, f"{path}/status")
+
+
+@query("latch_closed_days", with_ctes("obs", f"""SELECT k, year(d) - CASE WHEN month(d) < 7 THEN 1 ELSE 0 END AS season, {text('min(d)')} AS frozen_date
+       FROM (SELECT k, CAST(ts AS DATE) AS d, avg(t) AS t FROM obs GROUP BY 1, 2) WHERE t < 40 GROUP BY 1, 2"""))
+def latch_closed_days(spark, sf):
+    """Frozen latch fed by batches of closed days, three of them, the middle one repeated."""
+    path = session.new_folder(spark, "latch")
+    days = session.materialise(i.obs(spark, sf).groupBy("k", F.to_date("ts").alias("d")).agg(F.avg("t").alias("t")), "days")
+    sink = closed.latched_seasons(path, ["k"], threshold=40.0)
+    part = F.pmod(F.unix_date("d"), F.lit(3))
+    for batch in (0, 1, 1, 2):
+        sink(days.where(part == batch), batch)
+    return tables.read_table(spark, path, days.select("k", cal.season_of(F.col("d")).alias("season"), F.col("d").alias("frozen_date")).schema)

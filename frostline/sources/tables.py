@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from frostline.functions.joins import join_null_safe
+from frostline.session import materialise
+
 LOG_SCHEMA = T.StructType([
     T.StructField("issued", T.DateType()), T.StructField("number", T.IntegerType()),
     T.StructField("fud", T.IntegerType()), T.StructField("feed", T.StringType()),
@@ -30,6 +33,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, version: in
     return spark.read.schema(schema).parquet(f"{path}/version={int(wanted)}")
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a table was ever written to the path."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder through Spark's own file systems; nothing happens where there is none."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -68,19 +77,26 @@ def complete_days_only(df: DataFrame, time: str, as_of: str, after: str | None =
 
 
 def append_forecast(forecast: DataFrame, path: str) -> None:
-    """Write one issue's mean and members in one job; members without their mean fail it.
+    """Add issues, each mean with its members, in one job; members without their mean fail it.
 
-    An issue has a folder of its own, so a retried job replaces what it wrote before.
+    The log has a folder per feed and season. Those that get new issues are written anew: stored issues that come again
+    are replaced, so a retried job changes nothing, and the others are copied. A season of a feed is some dozen issues.
     """
-    issue = Window.partitionBy("feed", "season", "issued")
+    spark, key = forecast.sparkSession, ["feed", "season", "issued"]
+    issue = Window.partitionBy(*key)
     has_mean = F.max(F.when(F.col("number") == 0, 1).otherwise(0)).over(issue)
     refused = F.raise_error(F.lit("ensemble mean missing, members not written")).cast("int")
     checked = forecast.withColumn("_ok", has_mean).withColumn(
         "fud", F.when(F.col("_ok") == 1, F.col("fud")).otherwise(refused)
     )
     rows = checked.select(*[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA.fields])
-    (rows.hint("rebalance", "feed", "season", "issued").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("feed", "season", "issued").parquet(path))
+    if has_rows(spark, path):
+        rows = materialise(rows, "new-issues")
+        seasons, issues = rows.select("feed", "season").distinct(), rows.select(*key).distinct()
+        stored = join_null_safe(read_forecast_log(spark, path), seasons, ["feed", "season"], "left_semi")
+        rows = rows.unionByName(materialise(join_null_safe(stored, issues, key, "left_anti"), "stored-issues"))
+    (rows.hint("rebalance", "feed", "season").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("feed", "season").parquet(path))
 
 
 def read_forecast_log(spark: SparkSession, path: str, feed: str | None = None,
