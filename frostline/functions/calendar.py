@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the calendar conventions.
 SEASON_START_MONTH = 7        # a plotting season runs July 1 .. June 30
+PUBLISHED_AFTER_DAYS = 7  # of July, before a new season is shown
 SEASON_DAYS = 365             # positions in a season matrix
 CLIMATOLOGY_FIRST_DOY = 182   # July 1 of a common year
 NEXT_YEAR_BELOW_DOY = 300     # freeze-up days before this belong to the following year
@@ -26,6 +27,12 @@ def season_of(day: Column, cutover_month: int = SEASON_START_MONTH) -> Column:
     return F.year(day) - (F.month(day) < cutover_month).cast("int")
 
 
+def published_season(as_of: Column) -> Column:
+    """Season whose forecast is shown on a day: the first seven days of July still show the old one, as the first
+    forecast of the new season is issued on the 7th."""
+    return season_of(F.date_sub(as_of, PUBLISHED_AFTER_DAYS))
+
+
 def forecast_season(issued: Column) -> Column:
     """Season an issue date forecasts; NULL in May and June, when nothing is issued."""
     month = F.month(issued)

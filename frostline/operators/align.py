@@ -124,13 +124,13 @@ def nearest_join(targets: DataFrame, data: DataFrame, keys: Sequence[str], time:
 
 
 def latest_of_feeds(feeds: Sequence[tuple[str, DataFrame]], keys: Sequence[str], issued: str = "issued",
-                    value: str = "fud", number: str = "number", tie: Sequence[str] = ()) -> DataFrame:
-    """Newest ensemble-mean forecast over all feeds; on one date the first listed feed wins."""
+                    value: str = "fud", number: str = "number", tie: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
+    """Newest ensemble-mean forecast over all feeds; on one date the first listed feed wins. ``carry``: further columns of it."""
     ranked = [
-        f.where(F.col(number) == 0).select(*keys, issued, value, *tie, F.lit(name).alias("feed"),
+        f.where(F.col(number) == 0).select(*keys, issued, value, *tie, *carry, F.lit(name).alias("feed"),
                                           F.lit(len(feeds) - i).alias("_rank"))
         for i, (name, f) in enumerate(feeds)
     ]
-    newest = F.max_by(F.struct(issued, "feed", value), F.struct(issued, "_rank", *tie)).alias("_row")
+    newest = F.max_by(F.struct(issued, "feed", value, *carry), F.struct(issued, "_rank", *tie)).alias("_row")
     best = stack(*ranked).groupBy(*keys).agg(newest)
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in (issued, "feed", value)])
+    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in (issued, "feed", value, *carry)])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from frostline.functions import calendar as cal
 from frostline.operators import aggregate as agg
-from frostline.operators import align, ensemble, model
+from frostline.operators import align, ensemble, model, publish
 from frostline.plans.yearly import PREDICTORS
 from frostline.session import Stage, materialise
 
@@ -198,3 +198,11 @@ def run_forecast(inputs: DataFrame, fitted: DataFrame, names: Sequence[str] = NA
     return predicted.withColumn("season", season).withColumn(
         "fud_date", cal.fudoy_to_date(F.col("prediction"), F.col("season"))
     )
+
+
+def latest_document(log: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
+    """JSON of the newest forecast of the season shown on ``as_of``, of either feed, per key; the weekly feed wins on one date."""
+    day = F.lit(as_of).cast("date")
+    shown = log.where((F.col("season") == cal.published_season(day)) & (F.col("issued") <= day))
+    feeds = [(name, shown.where(F.col("feed") == name)) for name in ("weekly", "monthly")]
+    return publish.latest_json(align.latest_of_feeds(feeds, keys, carry=["season"]), keys)

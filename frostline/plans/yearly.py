@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostline.functions import calendar as cal
@@ -14,6 +14,7 @@ from frostline.operators import aggregate as agg
 from frostline.operators import align, ensemble, quality, seasons
 from frostline.operators.quality import DailyRules
 from frostline.session import Stage, materialise
+from frostline.sources import grid
 
 
 def processed_series(daily: DataFrame, keys: Sequence[str], rules: DailyRules = DailyRules()) -> DataFrame:
@@ -58,6 +59,13 @@ def monthly_predictors(analysis: DataFrame, cell_keys: Sequence[str] = ()) -> Da
     return folded.select(*keys, "season", F.when(summed, F.col("_sum")).otherwise(F.col("_mean")).alias("value"))
 
 
+def stored_predictors(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:
+    """monthly_predictors from a stored analysis, opening each predictor's own months only: its calendar month and, for
+    accumulations, the one after, where the last stamp of the month lies."""
+    branches = [grid.scan_analysis(spark, path, name, [month] if how == "mean" else [month, month % 12 + 1], years) for name, month, how in PREDICTORS]
+    return monthly_predictors(grid.grid_in_celsius(grid.normalise_valid_time(align.stack(*branches))))
+
+
 def training_table(predictors: DataFrame, freeze_up: DataFrame, keys: Sequence[str] = (), stage: Stage = materialise) -> DataFrame:
     """Wide predictors per season with the freeze-up day number, over the shared seasons.
 

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frostline import session
-from frostline.operators import model
+from frostline.functions import calendar as cal
+from frostline.operators import ensemble, model, publish
 from frostline.plans import forecast as fc
-from frostline.plans import gridded
+from frostline.plans import gridded, yearly
 from frostline.registry import ensembles as e
 from frostline.registry import inputs as i
 from frostline.registry.base import query
 from frostline.registry.inputs import rnd, text, with_ctes
-from frostline.sources import grid
+from frostline.sources import grid, tables
 
 PER_DAY = 2  # the synthetic grids are stamped at midnight and at noon
 REGIONS = [("north", 44.0, 50.0, -80.0, -70.0), ("east", 40.0, 50.0, -75.0, -70.0), ("spot", 44.9, 45.2, -75.0, -74.9)]
@@ -169,3 +170,52 @@ def grid_hindcast(spark, sf):
     """Replay of every issue for every region, from stored grids to dates."""
     replay = fc.run_forecast(_inputs(spark, sf, _rules(spark, sf)), model.fit_mlr(e.training(spark, sf), "y", fc.NAMES))
     return replay.select("region", "issued", "feed", "number", "season", "prediction", "fud", "fud_date")
+
+
+# --- training and publication ----------------------------------------------------------
+
+
+@query("stored_predictors", with_ctes("", f"SELECT season, {rnd('t2m', 5)} AS t2m, {rnd('sf', 5)} AS sf, {rnd('tcc', 5)} AS tcc FROM p",
+       cells=GRID_SQL["cells"], stamps="SELECT ts, avg(t2m) AS t2m, avg(sf) AS sf, avg(tcc) AS tcc FROM cells GROUP BY 1",
+       p="""SELECT season, max(t2m) AS t2m, max(sf) AS sf, max(tcc) AS tcc FROM (
+        SELECT year(ts) AS season, avg(t2m) AS t2m, NULL AS sf, NULL AS tcc FROM stamps WHERE month(ts) = 12 GROUP BY 1
+        UNION ALL SELECT year(h), NULL, sum(sf), NULL FROM (SELECT ts - INTERVAL 30 MINUTE AS h, sf FROM stamps) WHERE month(h) = 11 GROUP BY 1
+        UNION ALL SELECT year(ts), NULL, NULL, avg(tcc) FROM stamps WHERE month(ts) = 9 GROUP BY 1) GROUP BY 1"""), digits=5)
+def stored_predictors(spark, sf):
+    """Training predictors from a stored analysis, a pruned scan per predictor."""
+    path = session.new_folder(spark, "analysis-grid")
+    grid.write_grid(analysis_cells(spark, sf), path)
+    return ensemble.widen(yearly.stored_predictors(spark, path), ["season"], fc.NAMES)
+
+
+OPERATION_SQL = {**e.RULES_SQL, "rules": e.RULES_SQL["rules"].replace("AND reach >= target THEN reach", "AND reach >= target AND issued >= target + 6 THEN reach")}
+
+
+@query("source_rules_operation", with_ctes("", f"""SELECT {text('issued')} AS issued, feed, season, variable, method, {text('target')} AS target, analysis_due,
+       {text('forecast_issue')} AS forecast_issue, {text('observed_until')} AS observed_until FROM rules""", **OPERATION_SQL))
+def source_rules_operation(spark, sf):
+    """Rules of the running service, which splices observed days from the release day on."""
+    return fc.source_rules(e._issues(spark, sf), from_release_day=True)
+
+
+SHOWN_ON = "1998-07-05"
+LATEST_SQL = {
+    **e.TRAINING, **e.fit_sql("training"),
+    "member_x": "SELECT CAST(date_trunc('month', d) AS DATE) AS month, number, avg(t2m) AS t2m, sum(sf) AS sf, avg(tcc) AS tcc FROM grid_wide GROUP BY 1, 2",
+    "inputs": "SELECT * FROM member_x UNION ALL SELECT month, 0, avg(t2m), avg(sf), avg(tcc) FROM member_x GROUP BY 1",
+    "log": """SELECT month AS issued, number, CAST(round_even(b + b0 * t2m + b1 * sf + b2 * tcc, 0) AS INTEGER) AS p,
+        CASE WHEN month(month) <= 4 THEN year(month) - 1 ELSE year(month) END AS season FROM inputs, fitted WHERE month(month) NOT IN (5, 6)""",
+    "newest": f"SELECT * FROM log WHERE number = 0 AND season = 1997 AND issued <= DATE '{SHOWN_ON}' ORDER BY issued DESC LIMIT 1",
+}
+
+
+@query("latest_json", with_ctes("analysis_wide grid_wide", f"""SELECT '{{"latestForecastIssued":"' || {text('issued')} || '","latestForecast":"' || {text(e.FUD_DATE_SQL)} || '"}}' AS json FROM newest""", **LATEST_SQL))
+def latest_json(spark, sf):
+    """The service from regression to document: forecasts of two feeds logged, the newest of the season shown early in July, exported as JSON and read back."""
+    path = session.new_folder(spark, "latest")
+    issued = e.mlr_predict_ensemble.__wrapped__(spark, sf).select(F.col("month").cast("date").alias("issued"), F.col("number").cast("int").alias("number"), "fud", cal.forecast_season(F.col("month")).alias("season"))
+    issued = session.materialise(issued.where(F.col("season").isNotNull()), "issues")
+    tables.append_forecast(issued.withColumn("feed", F.lit("monthly")), f"{path}/log")
+    tables.append_forecast(issued.where(F.month("issued") % 2 == 0).withColumn("feed", F.lit("weekly")), f"{path}/log")
+    publish.export_json(fc.latest_document(tables.read_forecast_log(spark, f"{path}/log"), SHOWN_ON), f"{path}/json")
+    return spark.read.text(f"{path}/json").withColumnRenamed("value", "json")

@@ -55,6 +55,12 @@ def own_day_deviation(spark, sf):
     return quality.mask_own_day_deviation(i.obs(spark, sf), K, "ts", "t", 30.0).select("event_id", "t_kept")
 
 
+@query("own_day_deviation_two_sided", with_ctes("obs", f"""SELECT event_id, {rnd('CASE WHEN abs(t - m) < 30 THEN t END')} AS t_kept
+       FROM (SELECT *, avg(t) OVER (PARTITION BY k, CAST(ts AS DATE)) AS m FROM obs)"""))
+def own_day_deviation_two_sided(spark, sf):
+    return quality.mask_own_day_deviation(i.obs(spark, sf), K, "ts", "t", 30.0, two_sided=True).select("event_id", "t_kept")
+
+
 @query("raw_ffill", with_ctes("obs", f"SELECT event_id, {rnd(f'last_value(t IGNORE NULLS) {FWD}')} AS t_ffill FROM h", h=HOLED))
 def raw_ffill(spark, sf):
     return ordered.ffill_series(holed(spark, sf), K, "ts", block="hour").select("event_id", "t_ffill")
