@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frostline.functions import values as val
+from frostline.functions.joins import join_null_safe
 
 
 def regression_moments(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -69,7 +70,7 @@ def predict(rows: DataFrame, model: DataFrame, xs: Sequence[str], keys: Sequence
     """Apply a model to predictor rows; adds the value and its rounding to a whole day."""
     packed = F.struct("intercept", "coef").alias("_model")
     if keys:
-        framed = rows.join(model.select(*keys, packed), list(keys), "left")
+        framed = join_null_safe(rows, model.select(*keys, packed), list(keys), "left")
     else:
         framed = rows.withColumn("_model", model.select(packed).scalar())
     framed = framed.withColumn(out, _linear(F.col("_model.intercept"), F.col("_model.coef"), xs)).drop("_model")

@@ -97,21 +97,24 @@ def with_axis(df: DataFrame, keys: Sequence[str], time: str, block: str | None =
               rows_per_block: int = ROWS_PER_BLOCK, stage: Stage = materialise) -> tuple[DataFrame, Axis]:
     """Add the integer position, and with ``block`` (a time unit) the block column.
 
-    A unit with more than ``rows_per_block`` rows of one key is cut where its rows are: they
-    are counted in fine cells and the running count decides the cut. A block then holds at
+    Units are counted first, one row each, combined in the mappers; where none of a key has more than
+    ``rows_per_block`` rows, which is the usual case, units are the blocks. A unit with more is cut where its rows are:
+    its rows alone are counted in fine cells and the running count decides the cut. A block then holds at
     most ``rows_per_block`` rows and one cell, and a cell is a second or less, which stamps
-    unique to the microsecond cannot overfill. The plan is the same at every size; only
-    cells behind a cut are stored, so the usual case stores none. Rows without a time are a
-    block of their own.
+    unique to the microsecond cannot overfill. Rows without a time are a block of their own.
     """
     out = df.withColumn("_pos", time_position(df, time))
     if block is None:
         return out, Axis(tuple(keys))
     axis, width, cells = Axis(tuple(keys), block="_block"), F.lit(MICROS[block]), _CELLS.get(block, 4096)
     slot = [*keys, "_slot"]
-    celled = out.withColumn("_slot", F.floor(F.col("_pos") / width).cast("long"))
-    celled = celled.withColumn("_cell", F.floor((F.col("_pos") - F.col("_slot") * width) * cells / width).cast("long"))
-    counts = celled.where(F.col("_pos").isNotNull()).groupBy(*slot, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    placed = out.withColumn("_slot", F.floor(F.col("_pos") / width).cast("long"))
+    sizes = placed.where(F.col("_pos").isNotNull()).groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
+    crowded = stage(sizes.where(F.col("_n") > rows_per_block).select(*slot), "crowded-blocks")
+    if crowded.isEmpty():
+        return placed.withColumn("_block", F.col("_slot") * _PARTS).drop("_slot"), axis
+    celled = placed.withColumn("_cell", F.floor((F.col("_pos") - F.col("_slot") * width) * cells / width).cast("long"))
+    counts = join_null_safe(celled, crowded, slot, "left_semi").groupBy(*slot, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*slot).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cuts = counts.select(*slot, "_cell", F.floor(F.sum("_n").over(earlier) / rows_per_block).alias("_part")).where(F.col("_part") > 0)
     joined = join_null_safe(celled, stage(cuts, "block-cuts"), [*slot, "_cell"], "left")

@@ -37,8 +37,9 @@ def chart_series(processed: DataFrame, updated: DataFrame, keys: Sequence[str],
 def chart_freeze_up(observed: DataFrame, latched: DataFrame, forecast: DataFrame, keys: Sequence[str],
                     as_of: str) -> DataFrame:
     """Freeze-up per season: observed in the past; for the running season the latched date if
-    the series is frozen, else the forecast. Columns of the result: keys, season, fud."""
-    running = cal.season_of(F.lit(as_of).cast("date"))
+    the series is frozen, else the forecast. Columns of the result: keys, season, fud. In the first days of July the
+    running season is still the old one."""
+    running = cal.published_season(F.lit(as_of).cast("date"))
     past = observed.where(F.col("season") < running).select(*keys, "season", "fud")
     frozen = latched.where(F.col("season") == running).select(*keys, "season", F.col("frozen_date").alias("fud"))
     expected = forecast.where(F.col("season") == running).select(*keys, "season", F.col("fud_date").alias("fud"))

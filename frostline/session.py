@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +67,35 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """A run whose working folders are removed at its end, also when it fails.
+
+        with run_scope(spark):
+            daily_ingest(...).write.parquet(target)
+
+    What the run returns must be consumed inside. Scopes nest; the yielded list names the folders so far.
+    """
+    folders: list[str] = []
+    token = _scopes.set((*_scopes.get(), folders))
+    try:
+        yield folders
+    finally:
+        _scopes.reset(token)
+        for path in folders:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path under the working folder that no other run uses."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the working folder that no other run uses; the innermost ``run_scope`` removes it."""
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

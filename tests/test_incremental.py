@@ -122,3 +122,25 @@ def test_forecast_log_keeps_a_folder_per_season(spark, tmp_path):
     assert got == [("2019-08-07", 0, 350, "m"), ("2020-07-07", 0, 333, "m"), ("2020-08-03", 0, 356, "w"), ("2020-08-07", 0, 355, "m")]
     assert {f: f.stat().st_mtime_ns for f in (tmp_path / "log" / "feed=m" / "season=2019").iterdir()} == untouched
     assert sorted(p.name for p in (tmp_path / "log" / "feed=m").iterdir()) == ["season=2019", "season=2020"]
+
+
+def test_a_run_leaves_nothing_behind(spark, sf_dir, tmp_path):
+    """Working folders of a run, staged tables and tables it writes on its way, are gone when it has been consumed, also after an error."""
+    import os
+
+    from frostline import session
+    from frostline.registry import QUERIES
+
+    root = session.work_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    for name in ("daily_ingest", "forecast_input", "latest_json"):
+        with session.run_scope(spark) as folders:
+            QUERIES[name](spark, sf_dir).write.mode("overwrite").parquet(str(tmp_path / name))
+            assert folders
+        assert set(os.listdir(root)) <= before | {f for f in os.listdir(root) if "checkpoint" in f}
+        assert spark.read.parquet(str(tmp_path / name)).columns
+    with pytest.raises(ZeroDivisionError):
+        with session.run_scope(spark) as folders:
+            session.materialise(spark.range(3).toDF("n"), "x")
+            1 / 0
+    assert not os.path.exists(folders[0].removeprefix("file:"))

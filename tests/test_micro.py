@@ -335,3 +335,8 @@ def test_common_period_reaches_one_label_further(spark):
     other = spark.createDataFrame([(y, y) for y in range(1995, 2001)], "season int, fudoy int")
     out = align.common_period(base, other, "season").orderBy("season").collect()
     assert [(r.season, r.fudoy) for r in out] == [(y, y) for y in range(1995, 2001)] + [(2001, None)]
+
+
+def test_the_old_season_is_shown_until_the_eighth_of_july(spark):
+    days = spark.sql("SELECT explode(array(date'2024-01-03', date'2024-06-30', date'2024-07-01', date'2024-07-07', date'2024-07-08', date'2024-12-31')) AS d")
+    assert [r[0] for r in days.select(cal.published_season(F.col("d"))).collect()] == [2023, 2023, 2023, 2023, 2024, 2024]
