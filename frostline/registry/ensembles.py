@@ -381,11 +381,12 @@ FUD_DATE_SQL = """CASE WHEN p > 365 THEN make_date(season + 1, 1, 1) + CAST(roun
          ELSE make_date(season, 1, 1) + CAST(round_even(p - 1, 0) AS INTEGER) END"""
 
 
-@query("forecast_input", with_ctes(ALL_GRID, f"SELECT {text('issued')} AS issued, feed, number, {rnd('t2m')} AS t2m, {rnd('sf', 6)} AS sf, {rnd('tcc')} AS tcc FROM inputs",
-       **RULES_SQL, **INPUT_SQL))
+@query("forecast_input", with_ctes(ALL_GRID, f"SELECT {text('issued')} AS issued, feed, number, {rnd('t2m', 9)} AS t2m, {rnd('sf', 6)} AS sf, {rnd('tcc', 9)} AS tcc FROM inputs",
+       **RULES_SQL, **INPUT_SQL), digits=9)
 def forecast_input(spark, sf):
+    """Means of few days lie on the rounding grid of six digits, so they are compared with nine; sums are large and keep six."""
     forecasts = issued_forecasts(i.grid_daily(spark, sf), fc.FORECAST_LEADS)
-    return fc.forecast_input(fc.source_rules(_issues(spark, sf)), i.analysis_daily(spark, sf), forecasts)
+    return fc.forecast_input(fc.source_rules(_issues(spark, sf)), i.analysis_daily(spark, sf), forecasts).withColumn("sf", F.round("sf", 6))
 
 
 @query("hindcast", with_ctes(ALL_GRID, f"""SELECT {text('issued')} AS issued, feed, number, season, {rnd('p', 4)} AS prediction, CAST(round_even(p, 0) AS INTEGER) AS fud,

@@ -140,11 +140,11 @@ def _rules(spark, sf) -> DataFrame:
     return fc.source_rules(e._issues(spark, sf))
 
 
-@query("grid_forecast_input", with_ctes("", f"""SELECT region, {text('issued')} AS issued, feed, number, {rnd('t2m')} AS t2m, {rnd('sf')} AS sf, {rnd('tcc')} AS tcc FROM inputs""",
-       **e.RULES_SQL, **GRID_SQL))
+@query("grid_forecast_input", with_ctes("", f"""SELECT region, {text('issued')} AS issued, feed, number, {rnd('t2m', 9)} AS t2m, {rnd('sf')} AS sf, {rnd('tcc', 9)} AS tcc FROM inputs""",
+       **e.RULES_SQL, **GRID_SQL), digits=9)
 def grid_forecast_input(spark, sf):
     """Forecast input of every region and issue from stored grids, opening only the folders that the issue rules name."""
-    return _inputs(spark, sf, _rules(spark, sf))
+    return _inputs(spark, sf, _rules(spark, sf)).withColumn("sf", F.round("sf", 6))
 
 
 MISSING_SQL = {
