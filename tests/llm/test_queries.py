@@ -21,6 +21,9 @@ COLUMNS = {
     "op8_html_template": ["page_id", "url", "text", "n_chars"],
     "op9_run_index": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_secrets": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op11_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op12_pair_counts": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    "op13_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
 }
 
 
@@ -28,16 +31,24 @@ COLUMNS = {
 def test_query_has_its_columns(spark, sf_dir, name):
     frame = QUERIES[name](spark, sf_dir)
     assert frame.columns[: len(COLUMNS.get(name, []))] == COLUMNS.get(name, [])
-    source = {"op6_cover_tree": "embeddings", "op8_html_template": "pages"}.get(name, "documents")
+    source = {"op6_cover_tree": "embeddings", "op8_html_template": "pages", "op13_warc": "pages"}.get(name, "documents")
     rows, whole = frame.count(), table(spark, sf_dir, source).count()
     assert rows == whole or (name == "op4_packing" and rows > whole) or (name == "op2_decontaminate" and rows > 0)
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    import oracle_check
+
+    problem, _ = oracle_check.compare(spark, oracle_check.duck(sf_dir), name, QUERIES[name], ORACLES[name], sf_dir)
+    assert problem is None, problem
+
+
 def test_all_are_registered():
     import __spark_entry__ as entry
 
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_held_out_fold(spark, sf_dir):
