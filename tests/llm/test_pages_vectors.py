@@ -31,10 +31,60 @@ def test_slot_without_a_name_is_the_one_with_text(spark):
 
 
 def test_equivalence_classes(spark):
-    """Tokens that pages have equally often form the skeleton; what varies is left out."""
+    """Tokens that pages have equally often, and once, form the template; what repeats is left out."""
     rows = [(str(n), f"<html><body><article>{'<p>x</p>' * (n + 1)}</article><footer>f</footer></body></html>") for n in range(5)]
     [r] = html_template.templates(spark.createDataFrame(rows, "url string, html string").withColumn("host", F.lit("h"))).collect()
-    assert r.slot == "html>body>article" and r.skeleton == ["html", "html>body", "html>body>article", "html>body>footer"]
+    assert r.paths == ["", "html", "html>body", "html>body>article", "html>body>footer"] and r.fixed == []
+
+
+def main_texts(spark, rows):
+    return {r.page_id: r.main_text for r in html_template.main_text(spark.createDataFrame(rows, "page_id int, url string, html string"), Stages(spark)).collect()}
+
+
+def unnamed(n):
+    """Two layouts without telling names or elements: menu and closing words are the host's, the rest varies."""
+    words = f"Body of page {n} with words {n * n}."
+    menu, end = f"<div id=a><p>{'Choose what to read here. ' * 9}</p></div>", f"<div id=z><p>{'All rights are reserved by us. ' * 9}</p></div>"
+    if n % 3:
+        return n, "http://plain/x", f"<html><body>{menu}<div id=b><h2>Head {n}</h2><div id=c><p>{words}</p><p>More {n}</p></div></div>{end}</body></html>"
+    return n, "http://plain/x", f"<html><body>{menu}<div id=q><div id=r><p>{words}</p></div></div>{end}</body></html>"
+
+
+def test_template_without_names(spark, monkeypatch):
+    """What the pages of a host share is template, what varies is text; without occurrence vectors that is lost."""
+    rows = [unnamed(n) for n in range(12)]
+    text = {n: f"Head {n}\nBody of page {n} with words {n * n}.\nMore {n}" if n % 3 else f"Body of page {n} with words {n * n}." for n in range(12)}
+    assert main_texts(spark, rows) == text
+    plain = html_template.host_template
+
+    def no_vectors(found):
+        return plain([{**t, "v1": 0, "v2": 0} for t in found])
+
+    vectors = [{"path": p, "v1": v, "v2": v, "in_pages": n, "once": n, "own": 9, "plain": 9, "text": 9, "links": 0, "same": False}
+               for p, v, n in (("", 1, 9), ("html", 1, 9), ("html>div.a", 2, 5), ("html>div.b", 3, 4))]
+    assert plain(vectors)[0] == ["", "html", "html>div.a", "html>div.b"] and no_vectors(vectors)[0] == []
+
+
+def test_vectors_decide(spark):
+    """The same pages with all vectors set to 0 lose their template, and so their texts."""
+    rows = [unnamed(n) for n in range(12)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    [made] = html_template.templates(pages.withColumn("host", F.lit("plain"))).collect()
+    known, fixed = dict(zip(made.paths, made.weights)), frozenset(made.fixed)
+    with_them = [html_template.page_text(r[2], known, fixed) for r in rows]
+    without = [html_template.page_text(r[2]) for r in rows]
+    assert all(a != b for a, b in zip(with_them, without))
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p title=it's>First part.</p><p>Second part.</p><p>it's third</p></article>", "First part.\nSecond part.\nit's third"),
+    ("<article class='post tag-search'><p>Real text of it.</p></article>", "Real text of it."),
+    ("<article><p>One of them.</p><div class='related-work'><p>Others wrote.</p></div><div class='comment-list'><p>first!</p></div></article>", "One of them.\nOthers wrote."),
+    ("<article><p data-x='a>b' class=k>In</p><!--><p>after</p><a href=x?a=\"b>link</a></article>", "In\nafter\nlink"),
+    ("<main><div class=ad-slot>Buy</div><h1>Head</h1><p>Text</p></main>", "Head\nText"),
+])
+def test_marks_and_names(page, text):
+    assert html_template.page_text(page) == text
 
 
 def test_odd_pages_and_layouts(spark):
