@@ -154,6 +154,7 @@ def traverse(left: CoverTree, right: CoverTree | None, cosine: float, links: Lin
         sa, sb = left.single[[left.centre[k] for k in ka]], right.single[[right.centre[k] for k in kb]]
         size_a, size_b = np.array([len(left.members[k]) for k in ka]), np.array([len(right.members[k]) for k in kb])
         small_a, small_b = np.zeros(len(ka), bool), np.zeros(len(kb), bool)
+        points: list[tuple[np.ndarray, np.ndarray]] = []
         # strips of nodes without and with extent, so that each has a narrow bound
         for at, end, begin, stop in _strips(np.count_nonzero(ra == 0), len(ra), np.count_nonzero(rb == 0), len(rb), same):
             dots = sa[at:end] @ sb[begin:stop].T
@@ -174,12 +175,17 @@ def traverse(left: CoverTree, right: CoverTree | None, cosine: float, links: Lin
             found = single & (value >= cosine)
             if same:
                 found &= i != j
-            pa = np.array([left.centre[ka[p]] for p in i[found]], np.int64)
-            pb = np.array([right.centre[kb[q]] for q in j[found]], np.int64)
-            links.pairs(pa, pb + shift)
+            points.append((i[found], j[found]))
         # small nodes near some other small one are compared point by point, all at once
         if same:
             small_a |= small_b
+            small_b = small_a
+        # points that are both among those are compared there, and must not count twice
+        for i, j in points:
+            left_out = ~(small_a[i] & small_b[j])
+            pa = np.array([left.centre[ka[p]] for p in i[left_out]], np.int64)
+            pb = np.array([right.centre[kb[q]] for q in j[left_out]], np.int64)
+            links.pairs(pa, pb + shift)
         if small_a.any():
             ma = np.concatenate([left.members[ka[p]] for p in np.flatnonzero(small_a)])
             mb = ma if same else np.concatenate([right.members[kb[q]] for q in np.flatnonzero(small_b)])

@@ -157,6 +157,26 @@ def test_links_equal_brute_force(spark, cell_rows):
     assert list(got["kept"]) == [n == r for n, r in enumerate(root)]
 
 
+@pytest.mark.parametrize("spread, size", [(0.1, 64), (0.3, 64), (1.0, 8), (0.02, 3)])
+def test_traversal_of_large_labels(monkeypatch, spread, size):
+    """Trees of 1500 points, more than any leaf: every link once, within a tree and between two, at any leaf size."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(30, size)), 50, axis=0) + rng.normal(size=(1500, size)) * spread
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    for leaf in (cover_tree.LEAF, 1, 1 << 14, 1 << 20):
+        monkeypatch.setattr(cover_tree, "LEAF", leaf)
+        links = cover_tree.Links(np.ones(len(x), np.int64))
+        cover_tree.traverse(cover_tree.CoverTree(x), None, 0.93, links, 0)
+        assert (links.count == near.sum(axis=1)).all()
+        roots = np.array([links.find(i) for i in range(len(x))])
+        assert all(roots[i] == roots[j] for i, j in zip(*np.nonzero(near)))
+        half = cover_tree.Links(np.ones(len(x), np.int64))
+        cover_tree.traverse(cover_tree.CoverTree(x[:700]), cover_tree.CoverTree(x[700:]), 0.93, half, 700)
+        assert (half.count == np.r_[near[:700, 700:].sum(axis=1), near[:700, 700:].sum(axis=0)]).all()
+
+
 def test_vectors_awkward(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.0], None), (2, None, 1), (3, [0.0, 0.0], 1), (4, [1.0, None], 1), (5, [nan, 1.0], 1), (6, [inf, 1.0], 1), (7, [1.0, 0.1], 1),
