@@ -320,8 +320,7 @@ def templates(pages: DataFrame) -> DataFrame:
     schema = ", ".join(f"{name} {'string' if name in ('host', 'path') else 'bigint'}" for name, _ in fields)
     counted = (pages.select("host", "html").filter("host is not null").mapInArrow(run, schema)
                .groupBy("host", "path").agg(*[F.sum(c).alias(c) for c, _ in fields[2:11]], F.min("least").alias("least"), F.max("most").alias("most")))
-    # the token of no path is on every page once: it counts the host's pages
-    host_pages = counted.filter("path = '' and n > 1").select("host", F.col("n").alias("pages"))
+    host_pages = pages.filter("host is not null").groupBy("host").agg(F.count("*").alias("pages")).filter("pages > 1")
     # more than a tenth of the pages has each: their number is at most ten times a page's
     shared = counted.join(host_pages, "host").filter(f"{LAYOUT} * in_pages > pages")
     token = F.struct("path", "v1", "v2", "in_pages", "once", "own", "plain", "text", "links", F.expr("least = most").alias("same"))
