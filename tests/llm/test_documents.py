@@ -522,3 +522,68 @@ def test_secrets_awkward(spark, awkward, empty):
     assert len(got) == len(AWKWARD) + 1
     assert [(f.start, f.kind, f.end) for r in got for f in r.findings] == [(2, "assign", 16)]
     assert secrets.find(empty, secrets.fit(empty)).count() == 0
+
+
+@pytest.mark.parametrize("text, seen", [
+    ("a" * 260 + "1zz", ["a" * 260 + "1zz"]),
+    ("pwd: hunter2x", ["hunter2x"]),
+    ("key=abcdefghijklmnopqrstuvwx", ["key=abcdefghijklmnopqrstuvwx"]),
+    ("x = 'letters' and: others", ["letters", "others"]),
+    ("plain words, hyphen-ated ones. And ab1de of five", []),
+    ("camelCase " + "w" * 20, ["camelCase", "w" * 20]),
+    (None, []),
+])
+def test_candidates_are_whole_runs(text, seen):
+    assert [text[s:e] for s, e in secrets.candidates(text)] == seen
+
+
+def test_overlaps_equal_all_pairs():
+    rng = np.random.default_rng(5)
+    found = [(int(s), int(k), int(s + n)) for s, k, n in zip(rng.integers(0, 300, 40), rng.integers(0, 3, 40), rng.integers(1, 30, 40))]
+    spans = sorted((int(s), int(s + n)) for s, n in zip(rng.integers(0, 320, 60), rng.integers(1, 9, 60)))
+    assert secrets.overlaps(spans, found) == [any(s < end and start < e for s, _, e in found) for start, end in spans]
+    assert secrets.overlaps(spans, []) == [False] * 60
+
+
+def test_base_columns_equal_a_plain_loop(spark, sf_dir):
+    """Over all documents: counts and digest of the base spans by scanning characters."""
+    import re
+
+    from frostline.llm.queries import QUERIES
+
+    def runs(text, letters):
+        at = 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[end] in letters:
+                end += 1
+            if end > at:
+                yield at, end
+            at = max(end, at + 1)
+
+    big, value = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", re.compile("[A-Za-z0-9+/_.=-]+")
+    for r in QUERIES["op10_secrets"](spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").collect():
+        text, spans = r.text or "", []
+        at = 0
+        while (m := re.compile("(password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?", re.I | re.A).search(text, at)) is not None:
+            found = value.match(text, m.end())
+            if found is None:
+                at = m.start() + 1
+                continue
+            if len(found[0]) >= 6:
+                spans.append((m.start(), 0, found.end()))
+            at = found.end()
+        at = 0
+        while (at := text.find("AKIA", at)) >= 0:
+            end = at + 4
+            while end < len(text) and text[end] in big:
+                end += 1
+            if end - at >= 20:
+                spans.append((at, 1, end))
+            at = end if end > at + 4 else at + 1
+        spans += [(s, 2, e) for s, e in runs(text, "0123456789abcdef") if e - s >= 24]
+        kinds = [k for _, k, _ in spans]
+        assert (r.n_assign, r.n_access, r.n_hex) == (kinds.count(0), kinds.count(1), kinds.count(2))
+        written = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in sorted(spans))
+        assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        assert set(filter(None, written.split(","))) <= set(r.spans.split(","))
