@@ -37,3 +37,7 @@ def check(spark, folder, name):
 
 def test_raw_differentiate(spark, copied):
     check(spark, copied, "raw_differentiate")
+
+
+def test_raw_constant_runs(spark, copied):
+    check(spark, copied, "raw_constant_runs")
