@@ -41,3 +41,7 @@ def test_raw_differentiate(spark, copied):
 
 def test_raw_constant_runs(spark, copied):
     check(spark, copied, "raw_constant_runs")
+
+
+def test_raw_spike_mask(spark, copied):
+    check(spark, copied, "raw_spike_mask")
