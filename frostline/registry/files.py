@@ -225,12 +225,11 @@ def raw_slice(spark, sf):
     samples = i.obs(spark, sf).select("k", "event_id", "ts", F.when(F.col("t") <= 60, F.col("t")).alias("t"), F.to_date("ts").alias("d"))
     samples.hint("rebalance", "d").write.partitionBy("d").parquet(path)
     first, last = (dt.date.fromisoformat(d) for d in SLICE)
-    rows = session.materialise(slices.SliceReader(spark, path, samples.schema, ["k"], "ts", "t").read(first, last), "slice")
+    rows = session.materialise(slices.SliceReader(spark, path, samples.schema, ["k"], "ts", "t", also=["event_id"]).read(first, last), "slice")
     inside = F.col("d").between(F.lit(SLICE[0]).cast("date"), F.lit(SLICE[1]).cast("date"))
-    filled = ordered.interpolate_series(rows, ["k"], "ts").where(inside).select("k", "ts", "t_interp")
-    derived = ordered.differentiate_series(rows, ["k"], "ts", unit="hour").where(inside).select("k", "ts", F.round("dt", 4).alias("dt"))
-    ids = spark.read.parquet(path).where(inside).select("k", "ts", "event_id")
-    return ids.join(filled, ["k", "ts"]).join(derived, ["k", "ts"]).select("event_id", "t_interp", "dt")
+    filled = ordered.interpolate_series(rows, ["k"], "ts").where(inside).select("k", "event_id", "t_interp")
+    derived = ordered.differentiate_series(rows, ["k"], "ts", unit="hour").where(inside).select("k", "event_id", F.round("dt", 4).alias("dt"))
+    return filled.join(derived, ["k", "event_id"]).select("event_id", "t_interp", "dt")
 
 
 @query("run_gates", with_ctes("obs", f"""SELECT 'samples' AS stage, count(CASE WHEN t <= 120 THEN 1 END) AS n_rows, {text('max(CASE WHEN t <= 120 THEN CAST(ts AS DATE) END)')} AS last_d,

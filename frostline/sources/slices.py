@@ -2,7 +2,8 @@
 
 A table stored by day (``d=...`` folders) is read for the wanted days and, to either side, folder by folder until
 every series has a row and a known value there: first the next day, then twice as many at a time. A day is
-thereby recomputed without reading its whole series, and dense series cost one more day on each side.
+thereby recomputed without reading its whole series, and dense series cost one more day on each side. Other columns
+(``also``) go with the rows of the days; the rows around them have none.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ class SliceReader:
     """Reads slices of one table; ``opened`` lists the days it has read."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], time: str, value: str, day: str = "d",
-                 stage: Stage = materialise):
+                 stage: Stage = materialise, also: Sequence[str] = ()):
+        self.also = list(also)
         self.spark, self.path, self.keys, self.time, self.value, self.day, self.stage = spark, path, list(keys), time, value, day, stage
         self.schema = schema if day in schema.fieldNames() else T.StructType([*schema.fields, T.StructField(day, T.DateType())])
         self.opened: list[dt.date] = []
@@ -57,7 +59,8 @@ class SliceReader:
     def read(self, first: dt.date, last: dt.date) -> DataFrame:
         """Rows of the days from ``first`` to ``last`` and, outside them, the rows that fill, derivative and interpolation there depend on."""
         stored = stored_days(self.spark, self.path, self.day)
-        names = [*self.keys, self.time, self.value, self.day]
+        names = [*self.keys, self.time, self.value, *self.also, self.day]
+        none = [F.lit(None).cast(self.schema[c].dataType).alias(c) for c in self.also]
         inside = self.days([d for d in stored if first <= d <= last]).select(*names)
         asked = self.stage(inside.select(*self.keys).distinct(), "halo-keys")
         sides = [self.around(asked, [d for d in reversed(stored) if d < first], True), self.around(asked, [d for d in stored if d > last], False)]
@@ -70,5 +73,5 @@ class SliceReader:
                 every = every.unionByName(more)
             nearest = every.groupBy(*self.keys).agg(pick("any", F.col(f"any.{self.time}")).alias("any"), pick("known", F.col(f"known.{self.time}")).alias("known"))
             rows = nearest.select(*self.keys, F.explode(F.array_distinct(F.array_compact(F.array("any", "known")))).alias("row"))
-            out = out.unionByName(rows.select(*self.keys, "row.*").select(*names))
+            out = out.unionByName(rows.select(*self.keys, "row.*", *none).select(*names))
         return out

@@ -45,3 +45,8 @@ def test_raw_constant_runs(spark, copied):
 
 def test_raw_spike_mask(spark, copied):
     check(spark, copied, "raw_spike_mask")
+
+
+def test_raw_slice(spark, copied):
+    """Each event of the slice once, however many share its stamp."""
+    check(spark, copied, "raw_slice")
