@@ -587,3 +587,23 @@ def test_base_columns_equal_a_plain_loop(spark, sf_dir):
         written = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in sorted(spans))
         assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
         assert set(filter(None, written.split(","))) <= set(r.spans.split(","))
+
+
+def test_secrets_learn_from_every_document(spark):
+    """The network is that of all documents' different candidates; before, a sample of some thousand documents trained it."""
+    rows = [(n, f"note {n} token={n * 7919:010x} done" if n % 3 else f"see part-{n}a/{n * 31 % 97} there") for n in range(5000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = [(secrets.window(t, *s), known) for _, t in rows for spans in [secrets.candidates(t)] for s, known in zip(spans, secrets.overlaps(spans, secrets.base_findings(t)))]
+    ordered = spark.createDataFrame(seen, "seen string, label boolean").distinct().selectExpr("seen", "label", "xxhash64(seen) as key").orderBy("key", "seen", "label").toPandas()
+    assert len(ordered) == 5000
+    whole = secrets.train(secrets.encode(list(ordered["seen"])), ordered["label"].to_numpy(float), 0.95)
+    got = secrets.fit(documents)
+    for name in ("taps", "offset", "out", "bias", "scale", "shift", "threshold"):
+        np.testing.assert_allclose(getattr(got, name), getattr(whole, name), rtol=1e-6, err_msg=name)
+    parts = [secrets.fit(d, shard_rows=1200) for d in (documents, documents.repartition(7))]
+    x, y = secrets.encode(list(ordered["seen"])), ordered["label"].to_numpy(bool)
+    for name in ("taps", "offset", "out", "bias", "scale", "shift", "threshold"):
+        assert np.array_equal(getattr(parts[0], name), getattr(parts[1], name)), name
+    for net in (got, parts[0]):
+        found = net.score(x) >= net.threshold
+        assert found[y].mean() > 0.9 and found[~y].mean() < 0.05
