@@ -37,6 +37,7 @@ from frostline.llm.dart_minhash import normal_word
 SIMILARITY = 0.8
 WALKS, SAMPLES, PLACES = 6, 10, 2
 PIECE = 4
+SOME_BITS = 20  # leading bits of a hash that tell apart what no piece has
 BLOCK_BYTES = 32 << 20
 PAD = np.uint64(0)
 _STEP, _WALK = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
@@ -64,14 +65,15 @@ def embed(windows: np.ndarray) -> np.ndarray:
     places = sampled_places(n)
     keys = np.zeros((rows, WALKS, SAMPLES), np.uint64)
     keys += np.arange(1, WALKS * SAMPLES + 1, dtype=np.uint64).reshape(WALKS, SAMPLES)
-    every = np.arange(rows)
-    for walk in range(WALKS):
-        at = np.zeros(rows, np.int64)
-        for step in range(int(places[walk].max()) + 1):
-            word = padded[every, np.minimum(at, n)]
-            for sample in np.flatnonzero((places[walk] == step).any(axis=1)):
-                keys[:, walk, sample] = mix(keys[:, walk, sample] * _STEP ^ word)
-            at += (mix(word ^ np.uint64(_WALK * (walk * 4096 + step + 1) & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(63)).astype(np.int64)
+    every, at = np.arange(rows)[:, None], np.zeros((rows, WALKS), np.int64)
+    # all walks go one step at a time; one that is past its last sample writes nothing more
+    for step in range(int(places.max()) + 1):
+        word = padded[every, np.minimum(at, n)]
+        walk, sample = np.nonzero((places == step).any(axis=2))
+        if len(walk):
+            keys[:, walk, sample] = mix(keys[:, walk, sample] * _STEP ^ word[:, walk])
+        turns = np.array([_WALK * (k * 4096 + step + 1) & 0xFFFFFFFFFFFFFFFF for k in range(WALKS)], np.uint64)
+        at += (mix(word ^ turns) >> np.uint64(63)).astype(np.int64)
     return keys.reshape(rows, WALKS * SAMPLES)
 
 
@@ -118,19 +120,23 @@ class Items:
         self.pieces = {}
         for size, rows in pieces.items():
             rows.sort()
-            self.pieces[size] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+            value = np.array([r[0] for r in rows], np.uint64)
+            some = np.zeros(1 << SOME_BITS, bool)
+            some[value >> np.uint64(64 - SOME_BITS)] = True
+            self.pieces[size] = (value, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), some)
         self.lengths = np.array([len(w) for w in self.words])
 
     def windows(self, words: np.ndarray, owner: np.ndarray, first: np.ndarray) -> dict[int, np.ndarray]:
         """Window length to text number and start in ``words``, packed, of windows that hold a piece of an item of that length."""
         wanted: dict[int, list[np.ndarray]] = defaultdict(list)
-        for size, (value, item, offset) in self.pieces.items():
+        for size, (value, item, offset, some) in self.pieces.items():
             mine = grams(words, size)
-            low, high = np.searchsorted(value, mine, "left"), np.searchsorted(value, mine, "right")
-            at = np.flatnonzero(high > low)
+            # most runs of words begin like no piece's hash: only the others are looked up
+            at = np.flatnonzero(some[mine >> np.uint64(64 - SOME_BITS)])
             at = at[owner[at] == owner[at + size - 1]]
-            reps = (high - low)[at]
-            row = np.repeat(low[at], reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
+            low, high = np.searchsorted(value, mine[at], "left"), np.searchsorted(value, mine[at], "right")
+            at, low, reps = at[high > low], low[high > low], (high - low)[high > low]
+            row = np.repeat(low, reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
             begin, length = np.repeat(at, reps) - offset[row], self.lengths[item[row]]
             text = owner[np.repeat(at, reps)]
             for n in np.unique(length).tolist():

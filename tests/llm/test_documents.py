@@ -607,3 +607,24 @@ def test_secrets_learn_from_every_document(spark):
     for net in (got, parts[0]):
         found = net.score(x) >= net.threshold
         assert found[y].mean() > 0.9 and found[~y].mean() < 0.05
+
+
+def test_walks_go_together(monkeypatch):
+    """The keys are those of walks taken one after the other, at two hashes a step for all; before, each walk had its own."""
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 15, 40):
+        windows, places, calls = rng.integers(1, 9, (30, n)).astype(np.uint64), decontaminate.sampled_places(n), []
+        plain = np.zeros((30, decontaminate.WALKS, decontaminate.SAMPLES), np.uint64) + np.arange(1, decontaminate.WALKS * decontaminate.SAMPLES + 1, dtype=np.uint64).reshape(decontaminate.WALKS, -1)
+        for row in range(30):
+            for walk in range(decontaminate.WALKS):
+                at = 0
+                for step in range(int(places[walk].max()) + 1):
+                    word = windows[row, at] if at < n else decontaminate.PAD
+                    for sample in np.flatnonzero((places[walk] == step).any(axis=1)):
+                        plain[row, walk, sample] = decontaminate.mix((plain[row, walk, sample:sample + 1] * decontaminate._STEP) ^ word)[0]
+                    at += int(decontaminate.mix(np.array([word ^ np.uint64(decontaminate._WALK * (walk * 4096 + step + 1) & 0xFFFFFFFFFFFFFFFF)]))[0] >> np.uint64(63))
+        mix = decontaminate.mix
+        monkeypatch.setattr(decontaminate, "mix", lambda x: calls.append(1) or mix(x))
+        assert np.array_equal(decontaminate.embed(windows), plain.reshape(30, -1))
+        monkeypatch.undo()
+        assert len(calls) <= 2 * (int(places.max()) + 1)
