@@ -393,6 +393,93 @@ def test_lines_by_edit_similarity_alone(spark):
     assert {n for n in got if len(normal[n]) >= 4} == expected
 
 
+def edited_lines(seed, many):
+    rng, lines = random.Random(seed), []
+    for n in range(many):
+        line = rng_words(rng, rng.randrange(4, 120)) if n % 4 == 0 else list(lines[-1])
+        for _ in range(rng.randrange(len(line) // 5 + 2) if n % 4 else 0):
+            at = rng.randrange(len(line))
+            line[at:at + rng.choice([1, 1, 0])] = rng_words(rng, rng.choice([1, 1, 0]))
+        lines.append(line or ["x"])
+    return [fuzzy_lines.line_words(" ".join(x)) for x in lines]
+
+
+def test_wide_signs_rule_out_no_near_lines():
+    lines = edited_lines(12, 240)
+    sizes = np.array([len(x) for x in lines])
+    wide = fuzzy_lines.wide_signs(np.concatenate(lines).view(np.uint64), np.cumsum(sizes) - sizes)
+    fits = fuzzy_lines.wide_close(wide[:, None], wide[None], sizes[:, None], sizes[None])
+    near = np.array([[fuzzy_lines.edits(a.tolist(), b.tolist()) <= max(len(a), len(b)) // 5 for b in lines] for a in lines])
+    assert near.sum() > 2 * len(lines) and not (near & ~fits).any()
+    assert fits.sum() < len(lines) ** 2 / 2
+
+
+def test_candidates_of_a_key_are_parted():
+    """Lines that reach each other by wide signs stay together, in small and in large keys, and lines alone go."""
+    lines = edited_lines(13, 120)
+    sizes = np.array([len(x) for x in lines])
+    wide = fuzzy_lines.wide_signs(np.concatenate(lines).view(np.uint64), np.cumsum(sizes) - sizes)
+    fits = fuzzy_lines.wide_close(wide[:, None], wide[None], sizes[:, None], sizes[None])
+    for many in (1, 2, fuzzy_lines.FEW - 1, 40):
+        key = np.arange(len(lines)) // many
+        group = np.arange(len(lines))
+        for _ in lines:
+            group = np.where(fits & (key[:, None] == key[None]), group[None], len(lines)).min(axis=1)
+        expected = {frozenset(np.flatnonzero(group == g).tolist()) for g in group if (group == g).sum() > 1}
+        batch = pa.RecordBatch.from_pydict({"key": key, "whole": np.arange(len(lines)), "size": sizes, "wide": [w.tobytes() for w in wide]})
+        got = {}
+        for out in fuzzy_lines._sift(iter([batch.slice(0, 50), batch.slice(50)])):
+            for k, whole in zip(out.column("key").to_pylist(), out.column("whole").to_pylist()):
+                got.setdefault(k, set()).add(whole)
+        assert {frozenset(g) for g in got.values()} == expected
+
+
+def test_finished_stage_leaves_no_shuffle_files(spark):
+    """And the session's own setting is as before."""
+    import glob
+    import time
+
+    from frostline.llm.common import CLEANUP_CONF
+
+    def written():
+        at = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in at for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+
+    for own in (None, "false"):
+        if own:
+            spark.conf.set(CLEANUP_CONF, own)
+        before = written()
+        Stages(spark).write(spark.range(10_000).repartition(4, "id"), "moved")
+        for _ in range(50):
+            if not written() - before:
+                break
+            time.sleep(0.1)
+        assert not written() - before
+        assert spark.conf.get(CLEANUP_CONF, None) == own
+    spark.conf.unset(CLEANUP_CONF)
+
+
+def test_blocks_of_the_largest_class_do_not_meet(spark, monkeypatch):
+    """Of a bucket of many blocks every two members of different classes meet, those of its largest class do not."""
+    from frostline.llm import buckets
+
+    monkeypatch.setattr(buckets, "BLOCK", 10)
+    rows = [(key, n, 0 if n < large else n) for key, many, large in ((1, 90, 70), (2, 25, 4), (3, 8, 6)) for n in range(many)]
+
+    def met(group):  # every two members that are to be compared, as links
+        crossing = group["low"][0] != group["high"][0]
+        return [(int(group["key"][0]) * 1000 + a, int(group["key"][0]) * 1000 + b) for x, a in enumerate(group["node"]) for y, b in enumerate(group["node"])
+                if x < y and (not crossing or group["own"][x] != group["own"][y])]
+
+    members = spark.createDataFrame(rows, "key bigint, node bigint, class bigint")
+    loads = spark.createDataFrame([(n, n) for n in range(90)], "node bigint, load bigint")
+    got = [(min(r), max(r)) for r in buckets._across(members, loads, met).collect()]
+    assert len(got) == len(set(got))
+    classes = {(k * 1000 + n): (k, c) for k, n, c in rows}
+    assert {(a, b) for a in classes for b in classes if a < b and classes[a][0] == classes[b][0] and classes[a] != classes[b]} <= set(got)
+    assert sum(classes[a] == classes[b] == (1, 0) for a, b in got) == 0
+
+
 def test_short_lines_are_deduplicated(spark):
     """Lines of one to three words: copies go, others stay, and both are counted."""
     rows = [(1, "Read more\n\nHome\n今日は晴れです\n---"), (2, "read MORE!\nHome page\n---\nA longer line of text here\n今日は晴れです"), (3, "home\nRead less")]
