@@ -16,6 +16,7 @@ itself. A NULL id sorts first. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections import deque
@@ -48,6 +49,12 @@ def _byte_letters() -> dict[int, str]:
 _LATIN = _byte_letters()
 
 
+# one run of letters below U+0100, then at most one of signs: the tokenizer parts such a word between the two
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
+_PLAIN = f"^[{_LETTERS}]+[{re.escape(_SIGNS)}]*$"
+
+
 class WordIds:
     """Ids (32-bit, as bytes) of white-space pieces by the tokenizer's own parts; a part met before is looked up."""
 
@@ -59,23 +66,56 @@ class WordIds:
         self.cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.purpose = ("ids", path)
-        self.known: dict[str, bytes] = worker_cache(self.purpose)
+        self.known: dict[str | bytes, bytes] = worker_cache(self.purpose)
 
     def part(self, part: str) -> bytes:
         ids = self.known.get(part)
         if ids is None:
-            ids = self.known[part] = array("i", [t.id for t in self.model.tokenize(part)]).tobytes()
+            ids = self.known[part] = self.tokens(part)
         return ids
 
+    def tokens(self, part: str) -> bytes:
+        return array("i", [t.id for t in self.model.tokenize(part)]).tobytes()
+
     def word(self, word: str) -> bytes:
-        core = word.rstrip(".,!?;:")
-        if core.isalpha() and (core.isascii() or max(core) < "\u0100"):  # one run of letters, then one of signs
-            ids = self.part(core.lower().translate(_LATIN))
-            return ids if len(core) == len(word) else ids + self.part(word[len(core):])
         if any(s in word for s in self.special):
             return array("i", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         return b"".join([self.part(part) for part, _ in self.cut(self.normalise(word))])
 
+    def plain(self, parts: pa.Array) -> list[bytes]:
+        """Of runs of letters in lower case, or of signs. Known as UTF-8, so that none is taken for a part in byte-level letters."""
+        parts = parts.cast(pa.binary()).to_pylist()
+        out = list(map(self.known.get, parts))
+        for n, ids in enumerate(out):
+            if ids is None:
+                part = parts[n].decode()
+                out[n] = self.known[parts[n]] = self.tokens(part if part.isascii() else part.translate(_LATIN))
+        return out
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has. What words share, apart from case and signs, is looked up once."""
+        plain = pc.match_substring_regex(words, _PLAIN)
+        both, rest = words.filter(plain), words.filter(pc.invert(plain))
+        letters = pc.utf8_lower(pc.utf8_rtrim(both, _SIGNS)).dictionary_encode()
+        signs = pc.utf8_ltrim(both, _LETTERS).dictionary_encode()
+        ids = [*self.plain(letters.dictionary), *self.plain(signs.dictionary), *(self.word(w) if w else b"" for w in rest.to_pylist())]
+        # a word is two parts, of which the second is empty for words of the rest
+        first = np.flatnonzero(plain.to_numpy(zero_copy_only=False))
+        other = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        parts = np.full((len(words), 2), len(ids))
+        parts[first, 0], parts[first, 1] = letters.indices, len(letters.dictionary) + signs.indices.to_numpy()
+        parts[other, 0] = len(ids) - len(other) + np.arange(len(other))
+        sizes = np.fromiter(map(len, [*ids, b""]), np.int64, len(ids) + 1) // 4
+        stream = gathered(np.frombuffer(b"".join(ids), np.int32), np.cumsum(sizes) - sizes, sizes, parts.ravel())
+        return stream, sizes[parts].sum(axis=1)
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Parts of ``flat`` one after the other."""
+    taken = sizes[which]
+    ends = np.cumsum(taken)
+    return flat[np.repeat(starts[which] - (ends - taken), taken) + np.arange(int(taken.sum()))]
+
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
@@ -92,16 +132,12 @@ def encode(words: WordIds, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np
     lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " \n "), " ")
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = lists.flatten().dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    ids = [words.word(w) if w else b"" for w in distinct]
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    flat = np.frombuffer(b"".join(ids), np.int32)
-    starts = np.cumsum(sizes) - sizes
-    stops = np.fromiter((w[-1:] in (".", "!", "?", "\n") for w in distinct), bool, len(distinct))
+    distinct = coded.dictionary
+    flat, sizes = words.words(distinct)
+    stops = pc.match_substring_regex(distinct, "[.!?\n]$").to_numpy(zero_copy_only=False)
     codes = coded.indices.to_numpy(zero_copy_only=False)
-    of_word = sizes[codes] if len(distinct) else np.zeros(0, np.int64)
-    ends = np.cumsum(of_word)
-    stream = flat[np.repeat(starts[codes] - (ends - of_word), of_word) + np.arange(int(of_word.sum()))] if len(codes) else flat
+    ends = np.cumsum(sizes[codes])
+    stream = gathered(flat, np.cumsum(sizes) - sizes, sizes, codes)
     last_word = np.cumsum(counts)
     text_ends = np.r_[0, ends][last_word]
     owner = np.repeat(np.arange(len(counts)), counts)

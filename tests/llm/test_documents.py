@@ -161,6 +161,24 @@ def test_packing_round_trip(spark, documents, awkward):
         assert list(part["offset"]) == [0, *np.cumsum(part["length"])[:-1]] and part["length"].sum() <= 4096
 
 
+def test_packing_looks_up_parts_of_plain_words():
+    """Letters with signs after them are neither normalised nor cut word by word, and words that share letters share a look-up."""
+    import pyarrow as pa
+    from public_tokenizers import path
+
+    words = packing.WordIds(path("word_bpe_49k.json"))
+    text = "Été$$$ étÉ%%%. été abc''' ABC,### ªµº ß­ aß&&& x_y __ a'b ab's 'd <|endoftext|> x<|startoftext|> (242)  a.b ÿÞ×÷ ﬁ é́. \x1c\n\n."
+    whole = [words.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in (text, "", text[:40])]
+    stream, tokens, _ = packing.encode(words, pa.array([text, None, text[:40]]), 2)
+    assert stream.tolist() == sum(whole, []) and tokens.tolist() == list(map(len, whole))
+    for texts in (pa.array([None, ""], pa.string()), pa.array([], pa.string())):
+        assert packing.encode(words, texts, 2)[0].tolist() == [2] * len(texts)
+    words.known.clear()
+    words.cut = words.normalise = None
+    plain = "Été$$$ étÉ%%%. été ÉTÉ$$$!"
+    assert packing.encode(words, pa.array([plain]), 2)[0].tolist() == words.tokenizer.encode(plain).ids + [2]
+
+
 def test_packing_is_least_cost():
     """Against all ways to cut."""
     rng = np.random.default_rng(0)
