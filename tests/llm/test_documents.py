@@ -204,6 +204,62 @@ def test_packing_empty(empty):
     assert packing.pack(empty, "word_bpe_49k.json").count() == 0
 
 
+# ---- parts of fuzzy lines that work on many words or lines at once
+
+def test_line_words_in_columns(monkeypatch):
+    """Words of letters are not normalised one by one; others are, to the same hashes."""
+    import pyarrow as pa
+    import xxhash
+
+    lines = ["Été, (HELLO)!! été ab's $$$ x_y ß² a1B22 İx 日本 ªº­ \x1fq\x85w", "", "  ", "́a ÿ÷Þ ﬁ -- '"]
+    by_word = [[xxhash.xxh3_64_intdigest(w) for w in map(fuzzy_lines.normal_word, line.split()) if w] for line in lines]
+    got = fuzzy_lines.words_of(pa.array(lines)).to_pylist()
+    assert [[w % 2**64 for w in line] for line in got] == by_word
+    monkeypatch.setattr(fuzzy_lines, "normal_word", None)
+    plain = pa.array(["Été, (HELLO)!! été --ÉTÉ--", "hello ÿ"])
+    a, b = fuzzy_lines.words_of(plain).to_pylist()
+    assert a[0] == a[2] == a[3] and a[1] == b[0] and len(b) == 2
+    assert len(fuzzy_lines.line_table(plain)[2]) == 2
+
+
+def test_lines_of_a_key_meet_in_one_table(monkeypatch):
+    rng = np.random.default_rng(3)
+    wide = rng.integers(0, 2**63, (6, fuzzy_lines.LANES)).astype(np.uint64)[rng.integers(0, 6, 200)]
+    for row in wide:
+        for bit in rng.integers(0, 256, rng.integers(0, 8)).tolist():
+            row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    sizes, calls, close = rng.integers(18, 30, 200), [], fuzzy_lines.wide_close
+    monkeypatch.setattr(fuzzy_lines, "wide_close", lambda *a: calls.append(1) or close(*a))
+    got = fuzzy_lines.reached(wide, sizes)
+    assert len(calls) == 1
+    hit = close(wide[:, None], wide[None], sizes[:, None], sizes[None])
+    for n in range(200):
+        mine = np.zeros(200, bool)
+        mine[n], more = True, True
+        while more:
+            reach = hit[mine].any(axis=0)
+            more, mine = (reach != mine).any(), reach
+        assert got[n] == np.flatnonzero(mine)[0]
+    monkeypatch.setattr(fuzzy_lines, "TABLE", 0)  # keys of more lines than a table holds
+    assert (fuzzy_lines.reached(wide, sizes) == got).all()
+
+
+def test_bags_and_sorted_parts():
+    rng = np.random.default_rng(4)
+    lines = [rng.integers(-4, 5, n) for n in [0, 1, 0, *rng.integers(0, 70, 40), 0]]
+    values, sizes = np.concatenate(lines), np.array(list(map(len, lines)))
+    fuzzy_lines.sort_parts(values, sizes)
+    assert values.tolist() == sum((sorted(x.tolist()) for x in lines), [])
+    turn = int(fuzzy_lines._TURN)
+    for line, got in zip(lines, fuzzy_lines.bags_of(lines)):
+        seen = collections.Counter()
+        named = []
+        for w in line.tolist():
+            named.append((w + seen[w] * turn) % 2**64)
+            seen[w] += 1
+        assert got.tolist() == sorted(named)
+
+
 # ---- near-duplicates
 
 def shingle_bag(text):
