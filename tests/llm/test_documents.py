@@ -508,6 +508,16 @@ def test_candidates_of_a_key_are_parted():
         assert {frozenset(g) for g in got.values()} == expected
 
 
+def test_near_lines_are_found_whichever_word_differs(spark):
+    """One word of eight substituted, 400 times: no bit of a sign counts for more than one."""
+    rows = []
+    for n in range(400):
+        line = [f"w{n}x{k}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(8)]
+        rows += [(2 * n, " ".join(line)), (2 * n + 1, " ".join([*line[:n % 8], "other" + line[n % 8], *line[n % 8 + 1:]]))]
+    got = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), Stages(spark)).filter("n_removed = 1").collect()
+    assert sorted(r.doc_id for r in got) == list(range(1, 800, 2))
+
+
 def test_finished_stage_leaves_no_shuffle_files(spark):
     """And the session's own setting is as before."""
     import glob
