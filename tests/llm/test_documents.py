@@ -518,6 +518,64 @@ def test_near_lines_are_found_whichever_word_differs(spark):
     assert sorted(r.doc_id for r in got) == list(range(1, 800, 2))
 
 
+def test_many_pairs_compared_at_once(monkeypatch):
+    """As ``edits`` for near, far, short, long and empty-ended lines, in either order."""
+    rng, lines = random.Random(14), []
+    for n in range(700):
+        line = [rng.randrange(rng.choice([2, 5, 2000])) for _ in range(rng.randrange(1, rng.choice([6, 40, 159, 230])))]
+        other = list(line)
+        for _ in range(rng.randrange(len(line) // 5 + 3)):
+            at = rng.randrange(len(other) + 1)
+            other[at:at + rng.choice([1, 1, 0])] = [rng.randrange(2000) for _ in range(rng.choice([1, 1, 0]))]
+        lines += [line, other or [1]]
+    left = np.r_[np.arange(0, 1400, 2), np.arange(1, 1400, 2), rng.choices(range(1400), k=1500)]
+    right = np.r_[np.arange(1, 1400, 2), np.arange(0, 1400, 2), rng.choices(range(1400), k=1500)]
+    sizes = np.array([len(x) for x in lines])
+    expected = [fuzzy_lines.edits(lines[i], lines[j]) <= max(len(lines[i]), len(lines[j])) // 5 for i, j in zip(left.tolist(), right.tolist())]
+    calls, edits = [], fuzzy_lines.edits
+    monkeypatch.setattr(fuzzy_lines, "edits", lambda a, b: calls.append(max(len(a), len(b))) or edits(a, b))
+    assert fuzzy_lines.alike(np.concatenate(lines).astype(np.int64), sizes, left, right).tolist() == expected
+    assert 100 < sum(expected) < len(expected) - 100 and calls and min(calls) >= 5 * (fuzzy_lines.MOST_BAND + 1)
+
+
+def slice_rows(texts, doc_ids):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(doc_ids, pa.int64()), pa.array(texts)], ["row", "doc_id", "text"])
+    return list(fuzzy_lines._lines(fuzzy_lines.NONE)(iter([batch])))
+
+
+def test_keys_travel_by_buckets():
+    """A row for each bucket, not for each key; every key of a line is there once for a slice, with its line's size and folded sign."""
+    rng = random.Random(15)
+    texts = ["\n".join(" ".join(rng_words(rng, rng.randrange(1, 60))) for _ in range(20)) for _ in range(30)]
+    texts += texts[:3]
+    _, _, whole, size, counts, keys, wide = fuzzy_lines.line_table(pa.array(texts))
+    of_line = np.repeat(np.arange(len(whole)), counts)
+    expected = {(k, whole[n], min(size[n], 255), *(wide[n, :2] ^ wide[n, 2:]).tolist()) for k, n in zip(keys.tolist(), of_line.tolist())}
+    got, rows = [], 0
+    for n in range(fuzzy_lines.PASSES):
+        for out in fuzzy_lines._deal_keys(n, 16)(iter(slice_rows(texts, range(33)))):
+            assert out.column("bucket").to_pylist() == sorted(set(out.column("bucket").to_pylist()))
+            rows += out.num_rows
+            held = fuzzy_lines._bytes(out.column("held"), fuzzy_lines._KEY)
+            got += [(r["key"].item(), r["whole"], r["size"], *r["sign"].tolist()) for r in held]
+    assert rows <= 16 * fuzzy_lines.PASSES < len(got) and len(got) == len(set(got)) and set(got) == expected
+
+
+def test_occurrences_of_lines():
+    """Lines with a copy or wanted, the first of a line's copies in the lead; rows that are equal count once."""
+    texts, doc_ids = ["a b\nc d\n\ne f\nA, b!", "c d\ng h", "c d\ni j", "k l"], [5, 3, None, 7]
+    rows = slice_rows(texts, doc_ids)
+    whole = dict(zip(["a b", "c d", "e f", "a b", "c d", "g h", "c d", "i j", "k l"], fuzzy_lines.line_table(pa.array(texts))[2].tolist()))
+    wanted = list(fuzzy_lines._deal_wanted(8)(iter([pa.RecordBatch.from_pydict({"whole": [whole["c d"], whole["g h"]]})])))
+    got, twice = ([r for out in fuzzy_lines._occurrences(iter([*fuzzy_lines._deal_lines(8)(iter(rows * n)), *wanted])) for r in out.to_pylist()] for n in (1, 2))
+    later = [[(r["whole"], r["row"], r["line"]) for r in all_rows if not r["lead"]] for all_rows in (got, twice)]
+    assert sorted(later[0]) == sorted(later[1])
+    assert sorted((r["whole"], r["doc_id"] or 99, r["row"], r["line"], r["lead"], r["wanted"], r["size"], len(r["wide"])) for r in got) == sorted([
+        (whole["a b"], 5, 0, 0, True, False, 2, 0), (whole["a b"], 5, 0, 4, False, False, 2, 0),
+        (whole["c d"], 3, 1, 0, True, True, 2, 32), (whole["c d"], 5, 0, 1, False, True, 2, 0), (whole["c d"], 99, 2, 0, False, True, 2, 0),
+        (whole["g h"], 3, 1, 1, True, True, 2, 32)])
+
+
 def test_finished_stage_leaves_no_shuffle_files(spark):
     """And the session's own setting is as before."""
     import glob
