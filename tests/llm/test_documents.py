@@ -508,6 +508,77 @@ def test_candidates_of_a_key_are_parted():
         assert {frozenset(g) for g in got.values()} == expected
 
 
+def test_a_group_of_candidates_is_compared_once(monkeypatch):
+    """Classes as by brute force; no pair of lines is compared twice, and none whose lines are in one class by then."""
+    lines = edited_lines(16, 160)
+    lines += [np.array(x, np.int64).repeat(80) for n in range(3) for x in ([n, 7, 8], [8, 7, n])]  # long, of few words
+    sizes = np.array([len(x) for x in lines])
+    signs = fuzzy_lines.long_signs(np.concatenate(lines).view(np.uint64), sizes)
+    near = np.array([[fuzzy_lines.edits(a.tolist(), b.tolist()) <= max(len(a), len(b)) // 5 for b in lines] for a in lines])
+    fits = fuzzy_lines.wide_close(signs[:, None], signs[None], sizes[:, None], sizes[None])
+    assert not (near & ~fits).any()
+    root = np.arange(len(lines)) % 2  # two groups, dealt over two batches
+    together = near & (root[:, None] == root)
+    least = np.arange(len(lines))
+    for _ in lines:
+        least = np.where(together, least[None], len(lines)).min(axis=1)
+    pairs, alike = [], fuzzy_lines.alike
+
+    def spy(words, sizes, a, b):
+        pairs.extend(zip(a.tolist(), b.tolist()))
+        return alike(words, sizes, a, b)
+
+    monkeypatch.setattr(fuzzy_lines, "alike", spy)
+    batch = pa.RecordBatch.from_pydict({"root": root, "node": np.arange(len(lines)), "size": sizes.astype(np.int32),
+                                        "words": [x.tobytes() for x in lines], "sign": [x.tobytes() for x in signs]})
+    out, = fuzzy_lines._grouped(iter([batch.slice(0, 70), batch.slice(70)]))
+    got = collections.defaultdict(set)
+    for node, first in zip(out.column("node").to_pylist(), out.column("root").to_pylist()):
+        got[first].add(node)
+    assert {frozenset(x) for x in got.values()} == {frozenset(np.flatnonzero(least == n).tolist()) for n in least.tolist() if (least == n).sum() > 1}
+    assert all(first in x for first, x in got.items())
+    assert len(pairs) == len(set(pairs)) < (fits & (root[:, None] == root)).sum() // 2
+
+
+def test_bins_rule_out_no_near_lines():
+    lines = edited_lines(17, 120)
+    words, sizes = np.concatenate(lines), np.array([len(x) for x in lines])
+    left, right = np.triu_indices(len(lines), 1)
+    apart = fuzzy_lines.bins_apart(fuzzy_lines.word_numbers(words), np.cumsum(sizes) - sizes, sizes, left, right)
+    edits = np.array([fuzzy_lines.edits(lines[i].tolist(), lines[j].tolist()) for i, j in zip(left.tolist(), right.tolist())])
+    assert (apart <= 2 * edits).all() and (apart > 2 * fuzzy_lines.most_edits(np.maximum(sizes[left], sizes[right]))).any()
+
+
+def test_company_of_a_crowded_key(monkeypatch):
+    rng = np.random.default_rng(18)
+    monkeypatch.setattr(fuzzy_lines, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(fuzzy_lines, "BLOCK_COLUMNS", 40)
+    for many in (2, 16, 17, 300):
+        signs = rng.integers(0, 2**63, (many, 2)).astype(np.uint64)[rng.integers(0, many, many)]
+        signs ^= np.uint64(1) << rng.integers(0, 64, (many, 2)).astype(np.uint64)
+        sizes = np.minimum(rng.integers(4, 300, many), fuzzy_lines.MOST_SIZE)
+        fits = fuzzy_lines.wide_close(signs[:, None], signs[None], sizes[:, None], sizes[None])
+        np.fill_diagonal(fits, False)
+        assert (fuzzy_lines.with_company(signs, sizes) == fits.any(axis=1)).all()
+
+
+def test_large_groups_of_candidates_are_linked_by_blocks(spark, monkeypatch):
+    """Groups too large for one task, which go another way, give the same lines."""
+    rng, rows = random.Random(19), []
+    for n in range(12):
+        known = rng_words(rng, rng.choice([12, 30, 130]))
+        for k in range(8):
+            line = list(known)
+            line[rng.randrange(len(line))] = f"other{chr(97 + k)}"
+            rows.append((len(rows), " ".join(line)))
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    together = sorted(r.doc_id for r in fuzzy_lines.dedup_lines(documents, Stages(spark)).filter("n_removed = 1").collect())
+    monkeypatch.setattr(fuzzy_lines, "TOGETHER", 3)
+    apart = sorted(r.doc_id for r in fuzzy_lines.dedup_lines(documents, Stages(spark)).filter("n_removed = 1").collect())
+    assert together == apart == sorted(n for n, _ in lines_by_brute_force(rows))
+    assert len(together) >= 84
+
+
 def test_near_lines_are_found_whichever_word_differs(spark):
     """One word of eight substituted, 400 times: no bit of a sign counts for more than one."""
     rows = []
